@@ -45,12 +45,21 @@ def read_csv(
 
 def accepted(loaded: DataFrame) -> DataFrame:
     """The lines of a CSV load that fit the table."""
-    return loaded.filter(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
+    return loaded.filter(_misfit(loaded).isNull()).drop(RAW_LINE)
 
 
 def rejected(loaded: DataFrame) -> DataFrame:
     """The quarantined lines of a CSV load, with their text."""
-    return loaded.filter(F.col(RAW_LINE).isNotNull())
+    return loaded.filter(_misfit(loaded).isNotNull())
+
+
+def _misfit(loaded: DataFrame) -> Column:
+    """NULL for a line that fits.
+
+    Spark refuses plans that read nothing but the raw line, such as a plain count of the accepted
+    lines, so the first field takes part without having a say.
+    """
+    return F.concat(RAW_LINE, F.coalesce(F.col(loaded.columns[0]), F.lit("")))
 
 
 def load_rows(
