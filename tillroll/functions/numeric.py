@@ -20,8 +20,8 @@ def quotient(numerator: Column, denominator: Column) -> Column:
     """
     safe = F.nullif(denominator, F.lit(0))
     size = F.call_function("div", F.abs(numerator) * 200 + safe, safe * 2)
-    signed = F.when(numerator < 0, -size).otherwise(size)
-    return (signed.cast("decimal(19,0)") / F.lit(100)).cast("decimal(19,2)")
+    sign = F.when(numerator < 0, -1).otherwise(1)
+    return (size.cast("decimal(19,0)") * sign / F.lit(100)).cast("decimal(19,2)")
 
 
 def percentage(part: Column, whole: Column) -> Column:
@@ -55,9 +55,14 @@ def line_discount_ratio(list_price: str = "list_price") -> Column:
     return ratio.cast("decimal(18,10)")
 
 
-def month_text(day: str = "order_date") -> Column:
-    """Calendar month as ``yyyy-MM``."""
-    return F.date_format(day, "yyyy-MM")
+def month_start(day: str = "order_date") -> Column:
+    """First day of the calendar month; group by this and format the few groups afterwards."""
+    return F.trunc(day, "MM")
+
+
+def month_text(month: str) -> Column:
+    """A month start as ``yyyy-MM``."""
+    return F.date_format(month, "yyyy-MM")
 
 
 def delivery_days() -> Column:

@@ -45,5 +45,7 @@ def basket_pairs(
     return (
         pairs.orderBy(F.desc("pair_count"), "category_1", "category_2")
         .limit(limit)
-        .withColumn("pct_of_orders", percentage(F.col("pair_count"), delivered.scalar()))
+        .withColumn("delivered", delivered.scalar())
+        .withColumn("pct_of_orders", percentage(F.col("pair_count"), F.col("delivered")))
+        .drop("delivered")
     )

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.numeric import DELIVERED, money, percentage
+from tillroll.functions.numeric import DELIVERED, money, month_start, month_text, percentage
 from tillroll.functions.ranges import running_totals
 from tillroll.operators.revenue import order_totals
 
@@ -71,18 +71,22 @@ def cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """
     active = (
         orders.filter(F.col("order_status") == DELIVERED)
-        .select("customer_id", F.trunc("order_date", "MM").alias("active_month"))
+        .select("customer_id", month_start("order_date").alias("active_month"))
         .distinct()
     )
-    signups = customers.select("customer_id", F.trunc("signup_date", "MM").alias("signup_month"))
-    months = F.round(F.months_between("active_month", "signup_month")).cast("bigint")
+    signups = customers.select("customer_id", month_start("signup_date").alias("signup_month"))
     return (
         active.join(signups, "customer_id")
-        .groupBy(
-            F.date_format("signup_month", "yyyy-MM").alias("cohort_month"),
-            months.alias("months_since_signup"),
-        )
+        .groupBy("signup_month", "active_month")
         .agg(F.count_distinct("customer_id").alias("active_customers"))
+        .select(
+            month_text("signup_month").alias("cohort_month"),
+            # a whole number, as both are month starts
+            F.months_between("active_month", "signup_month")
+            .cast("bigint")
+            .alias("months_since_signup"),
+            "active_customers",
+        )
         .orderBy("cohort_month", "months_since_signup")
     )
 

@@ -12,6 +12,7 @@ from tillroll.functions.numeric import (
     line_discount_pct,
     line_profit,
     line_revenue,
+    month_start,
 )
 from tillroll.sources.schemas import Star
 
@@ -85,7 +86,7 @@ def derived(facts: DataFrame) -> DataFrame:
             "profit": F.round(line_profit(), 2),
             "discount_pct": line_discount_pct("item_list_price"),
             "delivery_days": delivery_days(),
-            "order_month": F.trunc("order_date", "MM"),
+            "order_month": month_start(),
         }
     )
 

@@ -10,6 +10,7 @@ from tillroll.functions.numeric import (
     line_discount_ratio,
     line_revenue,
     money,
+    month_start,
     month_text,
 )
 
@@ -160,8 +161,9 @@ def category_rank(orders: DataFrame, order_items: DataFrame, products: DataFrame
     )
     monthly = (
         lines.join(products.select("product_id", "category"), "product_id")
-        .groupBy(month_text().alias("month"), "category")
+        .groupBy(month_start().alias("month"), "category")
         .agg(money(F.sum(line_revenue())).alias("revenue"))
+        .withColumn("month", month_text("month"))
     )
     best_first = Window.partitionBy("month").orderBy(F.desc("revenue"))
     return monthly.withColumn("revenue_rank", F.dense_rank().over(best_first)).orderBy(

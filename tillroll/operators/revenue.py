@@ -12,7 +12,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.numeric import DELIVERED, PAID, RETURNED, money, month_text, percentage
+from tillroll.functions.numeric import (
+    DELIVERED,
+    PAID,
+    RETURNED,
+    money,
+    month_start,
+    month_text,
+    percentage,
+)
 
 REALISED = (DELIVERED,)  # order statuses that count as realised revenue
 BILLED = (DELIVERED, RETURNED)  # order statuses that were billed, returned or not
@@ -45,9 +53,11 @@ def with_lines(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 def status_distribution(orders: DataFrame) -> DataFrame:
     """Orders per status and their share of all orders."""
     counts = orders.groupBy("order_status").agg(F.count("*").alias("order_count"))
-    total = counts.agg(F.sum("order_count")).scalar()
-    return counts.withColumn("percentage", percentage(F.col("order_count"), total)).orderBy(
-        F.desc("order_count"), "order_status"
+    return (
+        counts.withColumn("total", counts.agg(F.sum("order_count")).scalar())
+        .withColumn("percentage", percentage(F.col("order_count"), F.col("total")))
+        .drop("total")
+        .orderBy(F.desc("order_count"), "order_status")
     )
 
 
@@ -73,11 +83,12 @@ def monthly_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders and revenue per month."""
     return (
         order_totals(orders, payments, "order_date")
-        .groupBy(month_text().alias("month"))
+        .groupBy(month_start().alias("month"))
         .agg(
             F.count_distinct("order_id").alias("order_count"),
             money(F.sum("grand_total")).alias("monthly_revenue"),
         )
+        .withColumn("month", month_text("month"))
         .orderBy("month")
     )
 
@@ -86,11 +97,12 @@ def channel_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Orders and revenue per month and sales channel."""
     return (
         order_totals(orders, payments, "order_date", "channel")
-        .groupBy(month_text().alias("month"), "channel")
+        .groupBy(month_start().alias("month"), "channel")
         .agg(
             F.count_distinct("order_id").alias("orders"),
             money(F.sum("grand_total")).alias("revenue"),
         )
+        .withColumn("month", month_text("month"))
         .orderBy("month", F.desc("revenue"), "channel")
     )
 
@@ -117,7 +129,7 @@ def monthly_revenue_chart(
         orders = with_lines(orders, order_items)
     return (
         order_totals(orders, payments, "order_date", statuses=BILLED)
-        .groupBy(F.trunc("order_date", "MM").alias("order_month"))
+        .groupBy(month_start().alias("order_month"))
         .agg(F.sum("grand_total").alias("grand_total"))
         .orderBy("order_month")
     )

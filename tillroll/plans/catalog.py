@@ -231,10 +231,12 @@ def preview(w: Wholesale) -> DataFrame:
 # --- distribution and revenue ------------------------------------------------------------------
 
 
-def _revenue_tables(w: Wholesale, *order_columns: str) -> tuple[DataFrame, DataFrame]:
+def _revenue_tables(
+    w: Wholesale, *order_columns: str, statuses: tuple[str, ...] = revenue.REALISED
+) -> tuple[DataFrame, DataFrame]:
     return (
-        w.orders("order_id", "order_status", *order_columns),
-        w.payments("order_id", "grand_total", "payment_status"),
+        w.orders("order_id", "order_status", *order_columns, statuses=statuses),
+        w.payments("order_id", "grand_total", "payment_status", paid_only=True),
     )
 
 
@@ -267,13 +269,13 @@ def q06_channel_month(w: Wholesale) -> DataFrame:
 
 @_query
 def daily_revenue(w: Wholesale) -> DataFrame:
-    return revenue.daily_revenue(*_revenue_tables(w, "order_date"))
+    return revenue.daily_revenue(*_revenue_tables(w, "order_date", statuses=revenue.BILLED))
 
 
 @_query
 def monthly_revenue_chart(w: Wholesale) -> DataFrame:
     return revenue.monthly_revenue_chart(
-        *_revenue_tables(w, "order_date"), w.order_items("order_id")
+        *_revenue_tables(w, "order_date", statuses=revenue.BILLED), w.order_items("order_id")
     )
 
 
@@ -290,14 +292,16 @@ def q07_top_customers(w: Wholesale) -> DataFrame:
 
 @_query
 def q08_repeat_rate(w: Wholesale) -> DataFrame:
-    return customers.repeat_rate(w.orders("order_id", "customer_id", "order_status"))
+    return customers.repeat_rate(
+        w.orders("order_id", "customer_id", "order_status", statuses=revenue.REALISED)
+    )
 
 
 @_query
 def q09_cohort_retention(w: Wholesale) -> DataFrame:
     return customers.cohort_retention(
         w.customers("customer_id", "signup_date"),
-        w.orders("customer_id", "order_date", "order_status"),
+        w.orders("customer_id", "order_date", "order_status", statuses=revenue.REALISED),
     )
 
 
@@ -360,9 +364,10 @@ def _sales_tables(
     line_columns: tuple[str, ...] = ("quantity", "unit_price"),
     product_columns: tuple[str, ...] = ("category",),
     order_columns: tuple[str, ...] = (),
+    statuses: tuple[str, ...] = revenue.REALISED,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
-        w.orders("order_id", "order_status", *order_columns),
+        w.orders("order_id", "order_status", *order_columns, statuses=statuses),
         w.order_items("order_id", "product_id", *line_columns),
         w.products("product_id", *product_columns),
     )
@@ -402,23 +407,35 @@ def q12_top_profit(w: Wholesale) -> DataFrame:
 @_query
 def q13_delivery_days(w: Wholesale) -> DataFrame:
     return operations.delivery_time(
-        w.orders("order_status", "order_date", "delivered_date", "ship_carrier")
+        w.orders(
+            "order_status",
+            "order_date",
+            "delivered_date",
+            "ship_carrier",
+            statuses=revenue.REALISED,
+        )
     )
 
 
 @_query
 def q14a_return_carrier(w: Wholesale) -> DataFrame:
-    return operations.return_rate_by_carrier(w.orders("order_status", "ship_carrier"))
+    return operations.return_rate_by_carrier(
+        w.orders("order_status", "ship_carrier", statuses=revenue.BILLED)
+    )
 
 
 @_query
 def q14b_return_category(w: Wholesale) -> DataFrame:
-    return operations.return_rate_by_category(*_sales_tables(w, ()))
+    return operations.return_rate_by_category(
+        *_sales_tables(w, (), statuses=revenue.BILLED)
+    )
 
 
 @_query
 def q14b_fixed(w: Wholesale) -> DataFrame:
-    return operations.return_rate_by_category_orders(*_sales_tables(w, ()))
+    return operations.return_rate_by_category_orders(
+        *_sales_tables(w, (), statuses=revenue.BILLED)
+    )
 
 
 @_query
@@ -499,7 +516,7 @@ def delivery_days(w: Wholesale) -> DataFrame:
 @_query
 def order_month(w: Wholesale) -> DataFrame:
     orders = w.orders("order_id", "order_date")
-    return orders.select("order_id", F.trunc("order_date", "MM").alias("order_month"))
+    return orders.select("order_id", numeric.month_start().alias("order_month"))
 
 
 @_query

@@ -19,6 +19,7 @@ payments       orders, one payment each; totals under 50,000 count as failed
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,13 +96,17 @@ class Wholesale:
             .select(*wanted)
         )
 
-    def orders(self, *columns: str) -> DataFrame:
+    def orders(self, *columns: str, statuses: Sequence[str] | None = None) -> DataFrame:
+        """Orders; ``statuses`` names the only ones needed, as a filter the scan can push down."""
         wanted = columns or tuple(n for n, _ in TABLES["orders"].columns)
         letter = F.col("o_orderstatus")
         status = F.lit(None).cast("string")
         for source, canonical in STATUS.items():
             status = F.when(letter == source, canonical).otherwise(status)
-        rows = self.source("orders").select(
+        stored = self.source("orders")
+        if statuses is not None:
+            stored = stored.filter(letter.isin([s for s, c in STATUS.items() if c in statuses]))
+        rows = stored.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").cast("date").alias("order_date"),
@@ -145,11 +150,15 @@ class Wholesale:
             .select(*wanted)
         )
 
-    def payments(self, *columns: str) -> DataFrame:
+    def payments(self, *columns: str, paid_only: bool = False) -> DataFrame:
+        """Payments; ``paid_only`` drops failed ones by a filter the scan can push down."""
         wanted = columns or tuple(n for n, _ in TABLES["payments"].columns)
         total = F.col("o_totalprice").cast("decimal(12,2)")
         tax = F.round(total * F.lit(15) / F.lit(100), 2).cast("decimal(12,2)")
-        rows = self.source("orders").select(
+        stored = self.source("orders")
+        if paid_only:
+            stored = stored.filter(F.col("o_totalprice") >= FAILED_BELOW)
+        rows = stored.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("customer_id"),
             (total - tax).cast("decimal(12,2)").alias("subtotal"),
