@@ -61,19 +61,15 @@ class SortedMetrics:
         }
         return {m: [found[wanted[m, r]] for r in rs] for m, rs in ranks.items()}
 
-    def quartiles(self, metrics: Sequence[str]) -> dict[str, list[Decimal]]:
-        """Linearly interpolated quartiles of each metric."""
+    def quartiles(self, metric: str) -> list[Decimal]:
+        """Linearly interpolated quartiles of a metric."""
         spots = [divmod(quarter * (self.count - 1), 4) for quarter in (1, 2, 3)]
-        ranks = [r for low, rest in spots for r in (low + 1, low + 1 + (rest > 0))]
-        rows = self.at({metric: ranks for metric in metrics})
-        return {
-            metric: [
-                rows[metric][2 * i][0]
-                + (rows[metric][2 * i + 1][0] - rows[metric][2 * i][0]) * rest / 4
-                for i, (_, rest) in enumerate(spots)
-            ]
-            for metric in metrics
-        }
+        ranks = [rank for low, rest in spots for rank in (low + 1, low + 1 + (rest > 0))]
+        values = [value for value, _ in self.at({metric: ranks})[metric]]
+        return [
+            low + (high - low) * rest / 4
+            for low, high, (_, rest) in zip(values[::2], values[1::2], spots, strict=True)
+        ]
 
     def _slot(self, position: int) -> int:
         for part, size in self._sizes:

@@ -13,6 +13,7 @@ from tillroll.operators.revenue import order_totals, with_lines
 from tillroll.session import materialise
 
 METRICS = ("recency", "frequency", "monetary")
+QUARTERS = [0.25, 0.5, 0.75]
 
 # Lowest total score of each segment, best first, and the rest.
 SEGMENTS = ((10, "Champions"), (8, "Loyal"), (5, "Potential"))
@@ -59,14 +60,6 @@ def _rank_score(metric: str, cuts: list[Position]) -> Column:
     return score
 
 
-def _recency_score(cuts: list[Decimal]) -> Column:
-    """4 for the most recent quarter down to 1; equal recency gives equal score."""
-    score = F.lit(4)
-    for cut in cuts:
-        score = score - F.when(F.col("recency") > F.lit(cut), 1).otherwise(0)
-    return score
-
-
 def rfm_scores(base: DataFrame) -> DataFrame:
     """Quartile scores and the segment of every row of :func:`rfm_base`.
 
@@ -75,21 +68,26 @@ def rfm_scores(base: DataFrame) -> DataFrame:
     1 + j * (n - 1) / 4 decide every score, so only those rows are looked up and no rank is
     computed for anyone else.
     """
-    ordered = SortedMetrics(base, "customer_id", METRICS)
+    ordered = SortedMetrics(base, "customer_id", ["frequency", "monetary"])
     n = ordered.count
-    if n == 0:
-        recency, ranked = [], {"frequency": [], "monetary": []}
-    else:
-        recency = ordered.quartiles(["recency"])["recency"]
-        ranks = [quarter * (n - 1) // 4 + 1 for quarter in (1, 2, 3)]
-        ranked = ordered.at({"frequency": ranks, "monetary": ranks})
-    return base.withColumns(
-        {
-            "R_score": _recency_score(recency),
-            "F_score": _rank_score("frequency", ranked["frequency"]),
-            "M_score": _rank_score("monetary", ranked["monetary"]),
-        }
-    ).withColumn("RFM_score", F.col("R_score") + F.col("F_score") + F.col("M_score"))
+    ranks = [quarter * (n - 1) // 4 + 1 for quarter in (1, 2, 3)] if n else []
+    ranked = ordered.at({"frequency": ranks, "monetary": ranks})
+    # one counter per different value: recency has no more of them than the calendar has days
+    cuts = base.agg(F.percentile("recency", F.lit(QUARTERS)))
+    return (
+        base.withColumn("cuts", cuts.scalar())
+        .withColumns(
+            {
+                # 4 for the most recent quarter down to 1; equal recency, equal score
+                "R_score": 4
+                - F.size(F.filter(F.col("cuts"), lambda cut: cut < F.col("recency"))).cast("int"),
+                "F_score": _rank_score("frequency", ranked["frequency"]),
+                "M_score": _rank_score("monetary", ranked["monetary"]),
+            }
+        )
+        .withColumn("RFM_score", F.col("R_score") + F.col("F_score") + F.col("M_score"))
+        .drop("cuts")
+    )
 
 
 def rfm_segment(scores: DataFrame) -> DataFrame:
@@ -125,14 +123,18 @@ def rfm_segment_counts(segmented: DataFrame) -> DataFrame:
 def describe_metrics(base: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of the three metrics, one row per statistic.
 
-    Quartiles are exact and interpolated, taken from the range-sorted metrics; an exact
-    percentile aggregate would gather every different spend in one task.
+    Quartiles are exact and interpolated.  Those of recency and frequency come from the
+    percentile aggregate, which keeps one counter per different value: no more than there are
+    days, or than the square root of twice the orders.  Spend may differ for every customer, so
+    its quartiles are looked up in a range sort instead.
     """
-    ordered = SortedMetrics(base, "customer_id", METRICS)
-    quartiles = ordered.quartiles(METRICS) if ordered.count else {m: [None] * 3 for m in METRICS}
+    spend = SortedMetrics(base, "customer_id", ["monetary"])
+    spend_quartiles = spend.quartiles("monetary") if spend.count else [None] * 3
 
     def quartile(metric: str, place: int) -> Column:
-        value = quartiles[metric][place]
+        if metric != "monetary":
+            return F.percentile(metric, QUARTERS[place])
+        value = spend_quartiles[place]
         cent = value and value.quantize(Decimal("0.01"), ROUND_HALF_UP)
         return F.lit(cent).cast("double")
 

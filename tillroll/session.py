@@ -30,6 +30,7 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
