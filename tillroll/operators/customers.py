@@ -131,6 +131,7 @@ def running_spend(
     Same-day orders follow their order id.
     """
     spend = order_totals(orders, payments, "customer_id", "order_date")
+    delivered = orders.filter(F.col("order_status") == DELIVERED)
     return running_totals(
         spend,
         group="customer_id",
@@ -139,4 +140,5 @@ def running_spend(
         number_as="order_number",
         total_as="running_total_spend",
         group_limit=group_limit,
+        sized_by=delivered,  # payments are one per order, so joining them adds no rows
     ).select("customer_id", "order_id", "order_date", "order_number", "running_total_spend")

@@ -20,19 +20,18 @@ from tillroll.sources.schemas import Star
 def joined(star: Star) -> DataFrame:
     """All five tables at line grain.
 
-    Orders meet customers and payments before they meet the lines, and products are attached to
-    the lines, so the lines themselves are shuffled on the order only (and on the product, if the
-    products are too large to broadcast).  Filters and column choices made on the result are
-    pushed below the joins.
+    Orders meet customers and lines meet products before orders meet lines, so the lines are
+    shuffled on the order only (and on the product, if the products are too large to broadcast);
+    payments then join on the same partitioning.  Payments come last because the adaptive skew
+    join splits a hot order only where both sides of a join come straight from an exchange: it
+    can do so for orders and lines, and once it has, for payments too.  Filters and column
+    choices made on the result are pushed below the joins.
     """
-    payments = star.payments.withColumnRenamed("payment_method", "paid_by")
-    headers = star.orders.join(star.customers, "customer_id").join(payments, "order_id")
+    headers = star.orders.drop("payment_method").join(star.customers, "customer_id")
     lines = star.order_items.withColumnRenamed("list_price", "item_list_price").join(
         star.products, "product_id"
     )
-    return headers.drop("payment_method").withColumnRenamed("paid_by", "payment_method").join(
-        lines, "order_id"
-    )
+    return lines.join(headers, "order_id").join(star.payments, "order_id")
 
 
 FACT_COLUMNS = (

@@ -61,7 +61,7 @@ class Wholesale:
         self._opened: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        """A source table; its file footer is read once per instance."""
+        """A source table; it is opened, and its footer read, once per instance."""
         if name not in self._opened:
             self._opened[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
         return self._opened[name]
