@@ -1,7 +1,10 @@
 """The whole load: CSV with dirty lines in, Parquet tables and reports out."""
 
+import datetime
+import re
+
 from tests.shop import shop, texts
-from tillroll.operators import revenue
+from tillroll.operators import facts, revenue
 from tillroll.plans.load import load_star
 from tillroll.sources import files
 from tillroll.sources.schemas import TABLES
@@ -26,11 +29,17 @@ def test_load(spark, tmp_path):
     assert loaded.rejected["payments"].count() == 0
     counts = {r["table_name"]: (r["row_count"], r["as_expected"]) for r in loaded.row_counts.collect()}
     assert counts["orders"] == (9, True) and counts["payments"] == (9, False)
-    assert loaded.star.orders.columns == [name for name, _ in TABLES["orders"].columns]
+    assert loaded.star.orders.columns == [n for n, _ in TABLES["orders"].columns] + ["order_month"]
     assert loaded.repeated_keys.count() == 2
     assert loaded.repeated_values.count() == 2
     assert texts(loaded.missing_values.filter("null_count > 0")) == [
         "products product_name 1"
     ]
+    ranged = facts.fact_query(
+        loaded.star, start=datetime.date(2024, 1, 31), end=datetime.date(2024, 2, 1)
+    )
+    assert sorted(set(texts(ranged, "order_id"))) == ["O3", "O4"]
+    physical = ranged._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*order_month", physical)
     assert "O9" in texts(loaded.orphans, "missing_key")
     assert texts(revenue.total_revenue(loaded.star.orders, loaded.star.payments)) == ["1364.00"]

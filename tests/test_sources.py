@@ -111,17 +111,6 @@ def test_query_binds_values(spark):
     assert texts(hostile) == []
 
 
-def test_orders_by_month(spark, tmp_path):
-    orders = shop(spark).orders
-    path = str(tmp_path / "orders")
-    files.write_orders(orders, path)
-    stored = spark.read.parquet(path)
-    assert stored.count() == orders.count()
-    january = stored.filter("order_month = date'2024-01-01'")
-    assert january.count() == 4
-    assert "PartitionFilters: [isnotnull(order_month" in january._jdf.queryExecution().toString()
-
-
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == configured

@@ -14,6 +14,7 @@ from tillroll.functions.numeric import (
     line_revenue,
     month_start,
 )
+from tillroll.sources.files import ORDER_MONTH
 from tillroll.sources.schemas import Star
 
 
@@ -125,13 +126,19 @@ def fact_query(
 ) -> DataFrame:
     """Fact rows of a date range (both ends included), sales channel and product category.
 
-    Every parameter is optional.  Filters are applied to the scans, ahead of all joins.
+    Every parameter is optional.  Filters are applied to the scans, ahead of all joins; orders
+    stored by month are pruned to the months of the range.
     """
     orders, products = star.orders, star.products
+    by_month = ORDER_MONTH in orders.columns
     if start is not None:
         orders = orders.filter(F.col("order_date") >= F.lit(start))
+        if by_month:
+            orders = orders.filter(F.col(ORDER_MONTH) >= F.lit(start.replace(day=1)))
     if end is not None:
         orders = orders.filter(F.col("order_date") <= F.lit(end))
+        if by_month:
+            orders = orders.filter(F.col(ORDER_MONTH) <= F.lit(end.replace(day=1)))
     if channel is not None:
         orders = orders.filter(F.col("channel") == channel)
     if category is not None:

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from tillroll.sources.schemas import TABLES
 
 RAW_LINE = "_corrupt_record"
+FITS = "fits"
+ORDER_MONTH = "order_month"
 
 
 def read_csv(
@@ -42,24 +44,29 @@ def read_csv(
     return raw.select(*_typed(table), RAW_LINE)
 
 
+def with_fits(loaded: DataFrame) -> DataFrame:
+    """Mark the lines of a CSV load that fit the table.
+
+    Spark converts, and so checks, only the fields a plan asks for.  The mark therefore refers to
+    all of them, so that the verdict on a line is the same whatever is selected afterwards.
+    """
+    fields = [F.col(c).cast("string") for c in loaded.columns if c != RAW_LINE]
+    misfit = F.when(F.col(RAW_LINE).isNotNull(), F.concat(RAW_LINE, F.concat_ws(",", *fields)))
+    return loaded.withColumn(FITS, misfit.isNull())
+
+
 def accepted(loaded: DataFrame) -> DataFrame:
     """The lines of a CSV load that fit the table."""
-    return loaded.filter(_misfit(loaded).isNull()).drop(RAW_LINE)
+    return _marked(loaded).filter(F.col(FITS)).drop(FITS, RAW_LINE)
 
 
 def rejected(loaded: DataFrame) -> DataFrame:
     """The quarantined lines of a CSV load, with their text."""
-    return loaded.filter(_misfit(loaded).isNotNull())
+    return _marked(loaded).filter(~F.col(FITS)).drop(FITS)
 
 
-def _misfit(loaded: DataFrame) -> Column:
-    """NULL for a line that fits.
-
-    Spark converts, and so checks, only the fields a plan asks for.  A misfit therefore refers to
-    all of them, so that the verdict on a line is the same whatever is selected afterwards.
-    """
-    fields = [F.col(c).cast("string") for c in loaded.columns if c != RAW_LINE]
-    return F.when(F.col(RAW_LINE).isNotNull(), F.concat(RAW_LINE, F.concat_ws(",", *fields)))
+def _marked(loaded: DataFrame) -> DataFrame:
+    return loaded if FITS in loaded.columns else with_fits(loaded)
 
 
 def load_rows(
@@ -161,13 +168,18 @@ def write_csv(df: DataFrame, path: str) -> None:
     out.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def write_orders(orders: DataFrame, path: str) -> None:
-    """Store orders by month, so that date ranges prune files.
+def write_loaded(loaded: DataFrame, path: str, table: str) -> DataFrame:
+    """Store a CSV load in one pass, fitting and quarantined lines apart, and open it.
 
-    Rows are spread by range over (month, order), which splits a heavy month over several tasks
-    and files instead of sending it to one.
+    The result is partitioned by ``fits``.  Orders are also partitioned by month, so that date
+    ranges prune files; they are spread by range over (month, order), which splits a heavy month
+    over several tasks and files instead of sending it to one.
     """
-    monthly = orders.withColumn("order_month", F.trunc("order_date", "MM"))
-    monthly.repartitionByRange("order_month", "order_id").write.partitionBy("order_month").parquet(
-        path
-    )
+    marked = with_fits(loaded)
+    keys = [FITS]
+    if table == "orders":
+        keys.append(ORDER_MONTH)
+        marked = marked.withColumn(ORDER_MONTH, F.trunc("order_date", "MM"))
+        marked = marked.repartitionByRange(*keys, "order_id")
+    marked.write.partitionBy(*keys).parquet(path)
+    return loaded.sparkSession.read.schema(marked.schema).parquet(path)
