@@ -83,13 +83,14 @@ def test_row_batch(spark):
 
 
 def test_parse_dates(spark):
-    text = spark.createDataFrame([("2024-02-29",), ("2023-02-29",), ("",), (None,)], "d string")
-    assert [r["d"] for r in files.parse_dates(text, ["d"]).collect()] == [
-        datetime.date(2024, 2, 29),
-        None,
-        None,
-        None,
-    ]
+    leap_day = datetime.date(2024, 2, 29)
+    given = ["2024-02-29", "2023-02-29", "", None, "2024", "not a date", "never"]
+    text = spark.createDataFrame([(d,) for d in given], "d string")
+    parsed = [r["d"] for r in files.parse_dates(text, ["d"]).collect()]
+    assert parsed == [leap_day] + [None] * 6
+    other = spark.createDataFrame([("29.02.2024",), ("2024-02-29",)], "d string")
+    parsed = [r["d"] for r in files.parse_dates(other, ["d"], "dd.MM.yyyy").collect()]
+    assert parsed == [leap_day, None]
 
 
 def test_query_binds_values(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,15 @@ PAID = "Paid"
 COD = "COD"
 
 
+HUNDREDTH = Decimal("0.01")
+RATIO_UNITS = 1_000_000  # line discounts are averaged in millionths of a percent
+
+
+def whole_cents(amount: Column) -> Column:
+    """Two-decimal money as a whole number, for fast exact arithmetic on single lines."""
+    return (amount * 100).cast("bigint")
+
+
 def quotient(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` rounded half up to two decimals, exactly.
 
@@ -20,8 +31,8 @@ def quotient(numerator: Column, denominator: Column) -> Column:
     """
     safe = F.nullif(denominator, F.lit(0))
     size = F.call_function("div", F.abs(numerator) * 200 + safe, safe * 2)
-    sign = F.when(numerator < 0, -1).otherwise(1)
-    return (size.cast("decimal(19,0)") * sign / F.lit(100)).cast("decimal(19,2)")
+    hundredths = size * F.when(numerator < 0, -1).otherwise(1)
+    return (hundredths.cast("decimal(19,0)") * HUNDREDTH).cast("decimal(19,2)")
 
 
 def percentage(part: Column, whole: Column) -> Column:
@@ -46,13 +57,19 @@ def line_profit() -> Column:
 
 def line_discount_pct(list_price: str = "list_price") -> Column:
     """Discount of one line in percent, two decimals; NULL for a zero list price."""
-    return percentage(F.col("discount_amount"), F.col(list_price))
+    return percentage(whole_cents(F.col("discount_amount")), whole_cents(F.col(list_price)))
+
 
+def mean_discount_pct(list_price: str = "list_price") -> Column:
+    """Mean over lines of the discount in percent, two decimals.
 
-def line_discount_ratio(list_price: str = "list_price") -> Column:
-    """Discount of one line in percent, ten decimals, for averaging."""
-    ratio = F.col("discount_amount") * 100 / F.nullif(F.col(list_price), F.lit(0))
-    return ratio.cast("decimal(18,10)")
+    Each line's percentage is rounded to millionths and they are summed as whole numbers, so the
+    result does not depend on the order of addition.
+    """
+    price = F.nullif(whole_cents(F.col(list_price)), F.lit(0))
+    doubled = whole_cents(F.col("discount_amount")) * (200 * RATIO_UNITS)
+    millionths = F.call_function("div", doubled + price, price * 2)
+    return quotient(F.sum(millionths), F.count(millionths) * RATIO_UNITS)
 
 
 def month_start(day: str = "order_date") -> Column:

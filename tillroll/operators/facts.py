@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import (
@@ -35,42 +37,56 @@ def joined(star: Star) -> DataFrame:
     return lines.join(headers, "order_id").join(star.payments, "order_id")
 
 
-FACT_COLUMNS = (
-    # order
-    "order_id",
-    "order_date",
-    "order_status",
-    "channel",
-    "ship_carrier",
-    "delivered_date",
-    # customer
-    "customer_id",
-    "full_name",
-    "city",
-    "state",
-    "age",
-    "segment",
-    "signup_date",
-    # product
-    "product_id",
-    "product_name",
-    "category",
-    "sub_category",
-    "brand",
-    "unit_cost",
-    # line
-    "line_no",
-    "quantity",
-    "item_list_price",
-    "discount_amount",
-    "unit_price",
-    # payment
-    "grand_total",
-    "tax_amount",
-    "shipping_fee",
-    "payment_status",
-    "payment_method",
-)
+# The columns of the fact table by the table they come from; keys are listed once.
+FACT_SOURCES = {
+    "orders": (
+        "order_id",
+        "order_date",
+        "order_status",
+        "channel",
+        "ship_carrier",
+        "delivered_date",
+    ),
+    "customers": (
+        "customer_id",
+        "full_name",
+        "city",
+        "state",
+        "age",
+        "segment",
+        "signup_date",
+    ),
+    "products": (
+        "product_id",
+        "product_name",
+        "category",
+        "sub_category",
+        "brand",
+        "unit_cost",
+    ),
+    "order_items": (
+        "line_no",
+        "quantity",
+        "item_list_price",
+        "discount_amount",
+        "unit_price",
+    ),
+    "payments": (
+        "grand_total",
+        "tax_amount",
+        "shipping_fee",
+        "payment_status",
+        "payment_method",
+    ),
+}
+FACT_COLUMNS = tuple(column for columns in FACT_SOURCES.values() for column in columns)
+JOIN_KEYS = {
+    "orders": ("order_id", "customer_id"),
+    "customers": ("customer_id",),
+    "products": ("product_id",),
+    "order_items": ("order_id", "product_id"),
+    "payments": ("order_id",),
+}
 
 
 def fact_table(star: Star) -> DataFrame:
@@ -91,6 +107,47 @@ def derived(facts: DataFrame) -> DataFrame:
     )
 
 
+def fact_null_summary(star: Star) -> DataFrame:
+    """Columns of the fact table, derived ones included, that contain NULLs.
+
+    Gives what :func:`quality.null_summary` gives on the derived fact table, but each table is
+    first reduced to its keys and one whole number with a bit per NULL, so that the joins move
+    five numbers per line instead of all its columns.
+    """
+    missing = {
+        table: {c: F.col(c.removeprefix("item_")).isNull() for c in columns}
+        for table, columns in FACT_SOURCES.items()
+    }
+    missing["orders"]["delivery_days"] = delivery_days().isNull()
+    missing["orders"]["order_month"] = month_start().isNull()
+    missing["order_items"]["revenue"] = line_revenue().isNull()
+    missing["order_items"]["discount_pct"] = line_discount_pct().isNull()
+
+    def bits(conditions: Iterable[Column]) -> Column:
+        marks = [F.when(c, 1 << place).otherwise(0) for place, c in enumerate(conditions)]
+        return reduce(Column.bitwiseOR, marks)
+
+    reduced = {
+        table: getattr(star, table).select(
+            *JOIN_KEYS[table], bits(conditions.values()).alias(f"{table}_nulls")
+        )
+        for table, conditions in missing.items()
+    }
+
+    def is_set(table: str, column: str) -> Column:
+        place = list(missing[table]).index(column)
+        return F.col(f"{table}_nulls").bitwiseAND(1 << place) != 0
+
+    found = {c: is_set(table, c) for table, conditions in missing.items() for c in conditions}
+    found["profit"] = found["revenue"] | found["unit_cost"]
+    return (
+        joined(Star(**reduced))
+        .agg(*[F.count_if(condition).alias(c) for c, condition in found.items()])
+        .unpivot([], list(found), "column_name", "null_count")
+        .filter(F.col("null_count") > 0)
+    )
+
+
 SAMPLE_COLUMNS = (
     "order_id",
     "order_date",

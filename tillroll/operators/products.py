@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import (
     DELIVERED,
-    line_discount_ratio,
     line_revenue,
+    mean_discount_pct,
     money,
     month_start,
     month_text,
@@ -106,7 +106,7 @@ def discount_impact(orders: DataFrame, order_items: DataFrame, products: DataFra
         .groupBy("category", "brand")
         .agg(
             F.count("*").alias("line_items"),
-            F.round(F.avg(line_discount_ratio()), 2).alias("avg_discount_pct"),
+            mean_discount_pct().alias("avg_discount_pct"),
             money(F.sum("discount_amount")).alias("total_discount_given"),
         )
         .orderBy(F.desc("avg_discount_pct"), "category", "brand")

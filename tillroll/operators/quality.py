@@ -57,11 +57,14 @@ def not_null(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def orphans(
+    child: DataFrame, column: str, parent: DataFrame, parent_key: str, unique_parent: bool = True
+) -> DataFrame:
     """Child key values without a parent, and how many rows hold each.
 
     Child keys are counted before the anti join, so a key held by many rows crosses the shuffle
-    as one row per task.  A NULL key refers to nothing and is valid.
+    as one row per task; so do parent keys that may repeat.  A NULL key refers to nothing and is
+    valid.
     """
     held = (
         child.filter(F.col(column).isNotNull())
@@ -69,6 +72,8 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
         .agg(F.count("*").alias("row_count"))
     )
     known = parent.select(F.col(parent_key).alias("known_key"))
+    if not unique_parent:
+        known = known.distinct()
     return held.join(known, held["missing_key"] == known["known_key"], "left_anti")
 
 
@@ -82,7 +87,13 @@ def foreign_keys(
     if relations is None:
         relations = [(t, c, parent) for t in tables for c, parent in TABLES[t].references]
     return _stacked(
-        orphans(tables[t], column, tables[parent], column).select(
+        orphans(
+            tables[t],
+            column,
+            tables[parent],
+            column,
+            unique_parent=TABLES[parent].primary_key == (column,),
+        ).select(
             F.lit(t).alias("table_name"),
             F.lit(column).alias("column_name"),
             F.lit(parent).alias("parent_table"),

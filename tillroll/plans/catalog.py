@@ -51,7 +51,7 @@ def comparable(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             value = value.cast("double")
         elif isinstance(f.dataType, T.DateType):
-            value = F.date_format(value, "yyyy-MM-dd")
+            value = value.cast("string")
         elif isinstance(f.dataType, T.IntegralType):
             value = value.cast("bigint")
         return value.alias(f.name)
@@ -215,7 +215,7 @@ def q02_null_audit(w: Wholesale) -> DataFrame:
 
 @_query
 def null_summary(w: Wholesale) -> DataFrame:
-    return quality.null_summary(facts.derived(facts.fact_table(w.star())))
+    return facts.fact_null_summary(w.star())
 
 
 @_query

@@ -116,9 +116,21 @@ def _typed(table: str, with_defaults: bool = False) -> list[Column]:
     return columns
 
 
-def parse_dates(df: DataFrame, columns: Sequence[str], pattern: str = "yyyy-MM-dd") -> DataFrame:
-    """Turn text columns into dates; text that is no date becomes NULL."""
-    return df.withColumns({c: F.try_to_date(F.col(c), pattern) for c in columns})
+def parse_dates(
+    df: DataFrame, columns: Sequence[str], pattern: str | None = None
+) -> DataFrame:
+    """Turn text columns into dates; text that is no date becomes NULL.
+
+    Without a pattern the text is ``yyyy-MM-dd`` and parsed by a cast, several times faster than
+    a pattern.
+    """
+
+    def parsed(column: str) -> Column:
+        if pattern is not None:
+            return F.try_to_date(column, pattern)
+        return F.when(F.length(column) == 10, F.try_to_date(column))
+
+    return df.withColumns({c: parsed(c) for c in columns})
 
 
 def query(
