@@ -37,6 +37,8 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        # recording the Python line of every column takes longer than building the plan
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -19,10 +19,11 @@ payments       orders, one payment each; totals under 50,000 count as failed
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.functions.numeric import CANCELLED, DELIVERED, RETURNED
 from tillroll.sources.schemas import TABLES, Star
@@ -34,22 +35,90 @@ AS_OF = datetime.date(2001, 8, 2)
 FAILED_BELOW = 50_000
 CASH_SEGMENT = "HOUSEHOLD"
 
-_PLACE = {"payment_method", "ship_carrier", "ship_city", "ship_state"}
+_BUYER_COLUMNS = ("payment_method", "ship_carrier", "ship_city", "ship_state")
 
 
-def _cents(amount: str) -> Column:
+def _cents(amount: str) -> str:
     """Whole hundredths of a source number, which is a double with two decimals."""
-    return F.rint(F.col(amount) * 100).cast("bigint")
+    return f"CAST(rint({amount} * 100) AS BIGINT)"
 
 
-def _money(cents: Column, kind: str) -> Column:
+def _money(cents: str, digits: int) -> str:
     """Whole cents as exact decimal money; much cheaper than casting a double to decimal."""
-    return (cents.cast("decimal(12,0)") * F.lit(0.01).cast("decimal(2,2)")).cast(kind)
+    return f"CAST(CAST({cents} AS DECIMAL(12,0)) * 0.01BD AS DECIMAL({digits},2))"
 
 
-def _share(cents: Column, hundredths: Column | int) -> Column:
+def _share(cents: str, hundredths: str) -> str:
     """A percentage of some cents, rounded half up."""
-    return F.call_function("div", cents * hundredths + 50, F.lit(100))
+    return f"(({cents} * {hundredths} + 50) div 100)"
+
+
+_PRICE = _cents("p_retailprice")
+_LINE = _cents("l_extendedprice")
+_CUT = _share(_LINE, _cents("l_discount"))
+_TOTAL = _cents("o_totalprice")
+_TAX = _share(_TOTAL, "15")
+_STATUS_CASE = " ".join(f"WHEN '{letter}' THEN '{name}'" for letter, name in STATUS.items())
+
+# Canonical column by source expression; columns that need a join are added by the methods.
+CUSTOMER_COLUMNS = {
+    "customer_id": "c_custkey",
+    "full_name": "c_name",
+    "email": "lower(translate(c_name, '#', '.'))",
+    "age": "CAST(floor(abs(c_acctbal) / 200) + 18 AS INT)",
+    "segment": "c_mktsegment",
+    # accounts in debt are closed, modest ones are not flagged and take the default
+    "is_active": "CASE WHEN c_acctbal < 0 THEN false WHEN c_acctbal < 5000 THEN true END",
+}
+PRODUCT_COLUMNS = {
+    "product_id": "p_partkey",
+    "sku": "concat(p_brand, '-', p_partkey)",
+    "product_name": "p_name",
+    "category": "p_type",
+    "sub_category": "concat('Size ', p_size)",
+    "brand": "p_brand",
+    "list_price": _money(_PRICE, 10),
+    "unit_cost": _money(_PRICE, 10),
+    "launch_date": "date_add(DATE'1995-01-01', p_size * 30)",
+    "is_discontinued": "CASE WHEN p_size > 45 THEN true WHEN p_size > 10 THEN false END",
+}
+ORDER_COLUMNS = {
+    "order_id": "o_orderkey",
+    "customer_id": "o_custkey",
+    "order_date": "CAST(o_orderdate AS DATE)",
+    "channel": "o_orderpriority",
+    "order_status": f"CASE o_orderstatus {_STATUS_CASE} END",
+}
+ITEM_COLUMNS = {
+    "order_id": "l_orderkey",
+    "line_no": "l_linenumber",
+    "product_id": "l_partkey",
+    "quantity": "CAST(l_quantity AS INT)",
+    "list_price": _money(_LINE, 10),
+    "discount_amount": _money(_CUT, 10),
+    "unit_price": _money(f"({_LINE} - {_CUT})", 10),
+}
+PAYMENT_COLUMNS = {
+    "order_id": "o_orderkey",
+    "customer_id": "o_custkey",
+    "subtotal": _money(f"({_TOTAL} - {_TAX})", 12),
+    "tax_amount": _money(_TAX, 12),
+    "shipping_fee": "CAST(0 AS DECIMAL(12,2))",
+    "grand_total": _money(_TOTAL, 12),
+    "payment_status": f"CASE WHEN o_totalprice < {FAILED_BELOW} THEN 'Failed' ELSE 'Paid' END",
+}
+
+# Footers are read once per session and table.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
+def _pick(df: DataFrame, mapping: dict[str, str], names: Iterable[str]) -> DataFrame:
+    """The mapped columns among ``names``, each once."""
+    return df.selectExpr(*[f"{mapping[n]} AS {n}" for n in dict.fromkeys(names) if n in mapping])
+
+
+def _wanted(table: str, columns: Sequence[str]) -> tuple[str, ...]:
+    return tuple(columns) or tuple(name for name, _ in TABLES[table].columns)
 
 
 class Wholesale:
@@ -58,135 +127,78 @@ class Wholesale:
     def __init__(self, spark: SparkSession, folder: str):
         self._spark = spark
         self._folder = folder
-        self._opened: dict[str, DataFrame] = {}
 
     def source(self, name: str) -> DataFrame:
-        """A source table; it is opened, and its footer read, once per instance."""
-        if name not in self._opened:
-            self._opened[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
-        return self._opened[name]
+        path = f"{self._folder}/{name}.parquet"
+        key = (self._spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self._spark.read.parquet(path).schema
+        return self._spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def customers(self, *columns: str) -> DataFrame:
-        wanted = columns or tuple(n for n, _ in TABLES["customers"].columns)
-        rows = self.source("customer").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("full_name"),
-            F.lower(F.translate("c_name", "#", ".")).alias("email"),
-            "c_nationkey",
-            (F.floor(F.abs("c_acctbal") / 200) + 18).cast("int").alias("age"),
-            F.col("c_mktsegment").alias("segment"),
-            # accounts in debt are closed, modest ones are not flagged and take the default
-            F.when(F.col("c_acctbal") < 0, False)
-            .when(F.col("c_acctbal") < 5000, True)
-            .alias("is_active"),
-        )
-        if {"city", "state"} & set(wanted):
+        wanted = _wanted("customers", columns)
+        placed = not {"city", "state"}.isdisjoint(wanted)
+        dated = "signup_date" in wanted
+        rows = self.source("customer")
+        if placed:
             rows = rows.join(self._places(), "c_nationkey", "left")
-        if "signup_date" in wanted:
+        mapping = CUSTOMER_COLUMNS | {"city": "city", "state": "state"}
+        kept = _pick(rows, mapping, (*wanted, *(("customer_id",) if dated else ())))
+        if dated:
             first = (
                 self.source("orders")
                 .groupBy(F.col("o_custkey").alias("customer_id"))
-                .agg(F.min(F.col("o_orderdate").cast("date")).alias("signup_date"))
+                .agg(F.expr("min(CAST(o_orderdate AS DATE))").alias("signup_date"))
             )
-            rows = rows.join(first, "customer_id", "left")
-        return rows.select(*wanted)
+            kept = kept.join(first, "customer_id", "left")
+        return kept.select(*wanted)
 
     def products(self, *columns: str) -> DataFrame:
-        wanted = columns or tuple(n for n, _ in TABLES["products"].columns)
-        price = _money(_cents("p_retailprice"), "decimal(10,2)")
-        return (
-            self.source("part")
-            .select(
-                F.col("p_partkey").alias("product_id"),
-                F.concat_ws("-", "p_brand", F.col("p_partkey").cast("string")).alias("sku"),
-                F.col("p_name").alias("product_name"),
-                F.col("p_type").alias("category"),
-                F.concat(F.lit("Size "), F.col("p_size").cast("string")).alias("sub_category"),
-                F.col("p_brand").alias("brand"),
-                price.alias("list_price"),
-                price.alias("unit_cost"),
-                F.date_add(F.lit(datetime.date(1995, 1, 1)), F.col("p_size") * 30).alias(
-                    "launch_date"
-                ),
-                F.when(F.col("p_size") > 45, True)
-                .when(F.col("p_size") > 10, False)
-                .alias("is_discontinued"),
-            )
-            .select(*wanted)
-        )
+        return _pick(self.source("part"), PRODUCT_COLUMNS, _wanted("products", columns))
 
     def orders(self, *columns: str, statuses: Sequence[str] | None = None) -> DataFrame:
         """Orders; ``statuses`` names the only ones needed, as a filter the scan can push down."""
-        wanted = columns or tuple(n for n, _ in TABLES["orders"].columns)
-        letter = F.col("o_orderstatus")
-        status = F.lit(None).cast("string")
-        for source, canonical in STATUS.items():
-            status = F.when(letter == source, canonical).otherwise(status)
+        wanted = _wanted("orders", columns)
+        dated = "delivered_date" in wanted
+        bought = not set(_BUYER_COLUMNS).isdisjoint(wanted)
         stored = self.source("orders")
         if statuses is not None:
-            stored = stored.filter(letter.isin([s for s, c in STATUS.items() if c in statuses]))
-        rows = stored.select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").cast("date").alias("order_date"),
-            F.col("o_orderpriority").alias("channel"),
-            status.alias("order_status"),
+            letters = [letter for letter, name in STATUS.items() if name in statuses]
+            stored = stored.filter(F.col("o_orderstatus").isin(letters))
+        helpers = ("order_id", "order_date", "order_status") if dated else ()
+        rows = _pick(
+            stored, ORDER_COLUMNS, (*wanted, *helpers, *(("customer_id",) if bought else ()))
         )
-        if "delivered_date" in wanted:
+        if dated:
             # the newest line is the newest one on or after the order date, if there is any
             shipped = (
                 self.source("lineitem")
                 .groupBy(F.col("l_orderkey").alias("order_id"))
-                .agg(F.max(F.col("l_shipdate").cast("date")).alias("shipped"))
-            )
-            arrived = (F.col("shipped") >= F.col("order_date")) & (
-                F.col("order_status") != CANCELLED
+                .agg(F.expr("max(CAST(l_shipdate AS DATE))").alias("shipped"))
             )
             rows = rows.join(shipped, "order_id", "left").withColumn(
-                "delivered_date", F.when(arrived, F.col("shipped"))
+                "delivered_date",
+                F.expr(
+                    f"CASE WHEN shipped >= order_date AND order_status <> '{CANCELLED}' "
+                    "THEN shipped END"
+                ),
             )
-        if _PLACE & set(wanted):
+        if bought:
             rows = rows.join(self._buyers(), "customer_id", "left")
         return rows.select(*wanted)
 
     def order_items(self, *columns: str) -> DataFrame:
-        wanted = columns or tuple(n for n, _ in TABLES["order_items"].columns)
-        price = _cents("l_extendedprice")
-        discount = _share(price, _cents("l_discount"))
-        return (
-            self.source("lineitem")
-            .select(
-                F.col("l_orderkey").alias("order_id"),
-                F.col("l_linenumber").alias("line_no"),
-                F.col("l_partkey").alias("product_id"),
-                F.col("l_quantity").cast("int").alias("quantity"),
-                _money(price, "decimal(10,2)").alias("list_price"),
-                _money(discount, "decimal(10,2)").alias("discount_amount"),
-                _money(price - discount, "decimal(10,2)").alias("unit_price"),
-            )
-            .select(*wanted)
-        )
+        return _pick(self.source("lineitem"), ITEM_COLUMNS, _wanted("order_items", columns))
 
     def payments(self, *columns: str, paid_only: bool = False) -> DataFrame:
         """Payments; ``paid_only`` drops failed ones by a filter the scan can push down."""
-        wanted = columns or tuple(n for n, _ in TABLES["payments"].columns)
-        total = _cents("o_totalprice")
-        tax = _share(total, 15)
+        wanted = _wanted("payments", columns)
+        bought = "payment_method" in wanted
         stored = self.source("orders")
         if paid_only:
             stored = stored.filter(F.col("o_totalprice") >= FAILED_BELOW)
-        rows = stored.select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            _money(total - tax, "decimal(12,2)").alias("subtotal"),
-            _money(tax, "decimal(12,2)").alias("tax_amount"),
-            F.lit(0).cast("decimal(12,2)").alias("shipping_fee"),
-            _money(total, "decimal(12,2)").alias("grand_total"),
-            F.when(F.col("o_totalprice") < FAILED_BELOW, "Failed")
-            .otherwise("Paid")
-            .alias("payment_status"),
-        )
-        if "payment_method" in wanted:
+        rows = _pick(stored, PAYMENT_COLUMNS, (*wanted, *(("customer_id",) if bought else ())))
+        if bought:
             rows = rows.join(
                 self._buyers().select("customer_id", "payment_method"), "customer_id", "left"
             )
@@ -200,26 +212,22 @@ class Wholesale:
         return Star(**self.tables())
 
     def _places(self) -> DataFrame:
-        return (
-            self.source("nation")
-            .join(self.source("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-            .select(
-                F.col("n_nationkey").alias("c_nationkey"),
-                F.col("n_name").alias("city"),
-                F.col("r_name").alias("state"),
-            )
+        nations, regions = self.source("nation"), self.source("region")
+        same_region = nations["n_regionkey"] == regions["r_regionkey"]
+        return nations.join(regions, same_region, "left").selectExpr(
+            "n_nationkey AS c_nationkey", "n_name AS city", "r_name AS state"
         )
 
     def _buyers(self) -> DataFrame:
         return (
             self.source("customer")
             .join(self._places(), "c_nationkey", "left")
-            .select(
-                F.col("c_custkey").alias("customer_id"),
-                F.col("c_mktsegment").alias("payment_method"),
-                F.col("state").alias("ship_carrier"),
-                F.col("city").alias("ship_city"),
-                F.col("state").alias("ship_state"),
+            .selectExpr(
+                "c_custkey AS customer_id",
+                "c_mktsegment AS payment_method",
+                "state AS ship_carrier",
+                "city AS ship_city",
+                "state AS ship_state",
             )
         )
 
