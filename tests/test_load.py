@@ -27,7 +27,8 @@ def test_load(spark, tmp_path):
 
     assert texts(loaded.rejected["orders"], "order_id") == ["O20"]
     assert loaded.rejected["payments"].count() == 0
-    counts = {r["table_name"]: (r["row_count"], r["as_expected"]) for r in loaded.row_counts.collect()}
+    counted = loaded.row_counts.collect()
+    counts = {r["table_name"]: (r["row_count"], r["as_expected"]) for r in counted}
     assert counts["orders"] == (9, True) and counts["payments"] == (9, False)
     assert loaded.star.orders.columns == [n for n, _ in TABLES["orders"].columns] + ["order_month"]
     assert loaded.repeated_keys.count() == 2

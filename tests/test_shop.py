@@ -3,6 +3,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.shop import shop, texts
 from tillroll.operators import (
@@ -230,8 +231,6 @@ def test_profit_with_missing_cost(sales):
 
 
 def test_profit_skips_lines_without_price(star):
-    from pyspark.sql import functions as F
-
     unpriced = star.order_items.withColumn(
         "unit_price", F.expr("case when order_id <> 'O8' then unit_price end")
     )
@@ -243,7 +242,7 @@ def test_rank_ties(spark, star):
     items = spark.createDataFrame(
         [("O1", "P1", 1, 10.0), ("O1", "P3", 1, 10.0), ("O1", "P4", 1, 4.0)],
         "order_id string, product_id string, quantity int, unit_price double",
-    ).selectExpr("order_id", "product_id", "quantity", "cast(unit_price as decimal(10,2)) unit_price")
+    ).withColumn("unit_price", F.col("unit_price").cast("decimal(10,2)"))
     ranked = products.category_rank(star.orders, items, star.products)
     assert texts(ranked) == [
         "2024-01 Home 10.00 1",

@@ -173,9 +173,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
     Flags are written as 0 and 1, which is how :func:`read_csv` takes them.
     """
-    flags = {
-        f.name: F.col(f.name).cast("int") for f in df.schema if isinstance(f.dataType, T.BooleanType)
-    }
+    booleans = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)]
+    flags = {name: F.col(name).cast("int") for name in booleans}
     out = df.withColumns(flags) if flags else df
     out.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
