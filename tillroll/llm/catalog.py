@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import hilbert
+from tillroll.llm import hilbert, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     """Every query by name; each takes (spark, folder of Parquet tables)."""
     found = [
         hilbert.op1_hilbert_shards,
+        simhash.op5_simhash_vantage,
     ]
     return {query.__name__: query for query in found}
 

@@ -10,11 +10,20 @@ WORD_GAP = "[\\x20\\x09-\\x0D]+"
 WORD_GAP_CHARS = " \t\n\x0b\x0c\r"
 
 
+# Set where the session still has Spark's defaults, given second.
+SETTINGS = {
+    # split the join of a hot key whatever stands above it
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": ("true", "false"),
+    # texts may be long: a batch that goes to Python holds fewer of them
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("500", "10000"),
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the folder; joins on a hot key are split whatever stands above them."""
-    setting = "spark.sql.adaptive.forceOptimizeSkewedJoin"
-    if spark.conf.get(setting) != "true":
-        spark.conf.set(setting, "true")
+    """A table of the folder, in a session fit for long texts and hot keys."""
+    for setting, (value, default) in SETTINGS.items():
+        if spark.conf.get(setting) == default:
+            spark.conf.set(setting, value)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
