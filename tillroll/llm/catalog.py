@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import hilbert, simhash
+from tillroll.llm import hilbert, rulelist, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
     found = [
         hilbert.op1_hilbert_shards,
         simhash.op5_simhash_vantage,
+        rulelist.op7_decision_list,
     ]
     return {query.__name__: query for query in found}
 
