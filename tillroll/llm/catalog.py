@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import hilbert, rulelist, simhash
+from tillroll.llm import contextual, hilbert, pareto, rulelist, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,11 +15,13 @@ def queries() -> dict[str, Query]:
     """Every query by name; each takes (spark, folder of Parquet tables)."""
     found = [
         hilbert.op1_hilbert_shards,
+        contextual.op4_contextual_pii,
         simhash.op5_simhash_vantage,
+        pareto.op6_pareto_mix,
         rulelist.op7_decision_list,
     ]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_pareto_mix": pareto.OP6_SQL}
