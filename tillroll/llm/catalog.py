@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import contextual, hilbert, pareto, rulelist, simhash
+from tillroll.llm import contextual, hilbert, packing, pareto, rulelist, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     """Every query by name; each takes (spark, folder of Parquet tables)."""
     found = [
         hilbert.op1_hilbert_shards,
+        packing.op2_ordered_packing,
         contextual.op4_contextual_pii,
         simhash.op5_simhash_vantage,
         pareto.op6_pareto_mix,
