@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import contextual, hilbert, packing, pareto, rulelist, simhash
+from tillroll.llm import archives, contextual, hilbert, packing, pareto, rulelist, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
     found = [
         hilbert.op1_hilbert_shards,
         packing.op2_ordered_packing,
+        archives.op3_legacy_archives,
         contextual.op4_contextual_pii,
         simhash.op5_simhash_vantage,
         pareto.op6_pareto_mix,
@@ -25,4 +26,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_pareto_mix": pareto.OP6_SQL}
+    return {"op3_legacy_archives": archives.OP3_SQL, "op6_pareto_mix": pareto.OP6_SQL}
