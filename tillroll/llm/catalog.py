@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import archives, contextual, hilbert, packing, pareto, rulelist, simhash
+from tillroll.llm import archives, contextual, hilbert, lengths, multiindex, packing, pareto, rulelist, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +21,15 @@ def queries() -> dict[str, Query]:
         simhash.op5_simhash_vantage,
         pareto.op6_pareto_mix,
         rulelist.op7_decision_list,
+        lengths.op9_length_histogram,
+        multiindex.op10_multi_index_search,
     ]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_legacy_archives": archives.OP3_SQL, "op6_pareto_mix": pareto.OP6_SQL}
+    return {
+        "op3_legacy_archives": archives.OP3_SQL,
+        "op6_pareto_mix": pareto.OP6_SQL,
+        "op10_multi_index_search": multiindex.OP10_SQL,
+    }
