@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import archives, contextual, hilbert, lengths, multiindex, packing, pareto, rulelist, simhash
+from tillroll.llm import (
+    archives,
+    contextual,
+    hilbert,
+    lengths,
+    multiindex,
+    packing,
+    pareto,
+    rulelist,
+    secrets,
+    simhash,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +32,7 @@ def queries() -> dict[str, Query]:
         simhash.op5_simhash_vantage,
         pareto.op6_pareto_mix,
         rulelist.op7_decision_list,
+        secrets.op8_secret_worklist,
         lengths.op9_length_histogram,
         multiindex.op10_multi_index_search,
     ]
