@@ -55,6 +55,9 @@ def test_ids_equal_the_whole_text(tokenizer):
     encoder = tokens.WordEncoder(PATH)
     texts = ["", " ", "don't we'll I'M", "<|endoftext|> x<|startoftext|>", "a" * 5000, "x" * 50 + " ."]
     texts += ["".join(rng.choice(letters) for _ in range(200)) for _ in range(300)]
+    plain = "abthnTHNÀéÿñß×÷İſK'’.,-!?59_ \n"
+    texts += ["".join(rng.choice(plain) for _ in range(300)) for _ in range(200)]
+    texts += ["".join(rng.choices("aAtsé'.! ", (9, 3, 9, 9, 3, 2, 2, 1, 4), k=400)) for _ in range(100)]
     for text in texts:
         expected = tokenizer.encode(text, add_special_tokens=False).ids
         assert encoder.ids(text).tolist() == expected, repr(text)

@@ -4,19 +4,49 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+import struct
 
 import numpy as np
 
 CACHED_WORDS = 300_000
+CACHED_PIECES = 600_000
 CACHED_LENGTH = 40
+# Words of ASCII letters, digits and marks other than the apostrophe, and of the letters that
+# follow them in Unicode, fall into these pieces wherever they stand.
+PIECE = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Pieces(dict):
+    """Ids of pieces of words, by their bytes in lower-case ASCII."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.encode, self.model = tokenizer.encode, tokenizer.model
+
+    def __missing__(self, piece: bytes) -> bytes:
+        if piece.isascii():  # already what the model gets to see
+            ids = _packed([token.id for token in self.model.tokenize(piece.decode())])
+        else:
+            ids = _packed(self.encode(piece.decode(), add_special_tokens=False).ids)
+        if len(self) >= CACHED_PIECES:
+            self.clear()
+        if len(piece) <= CACHED_LENGTH:
+            self[piece] = ids
+        return ids
 
 
 class WordEncoder(dict):
-    """Encodes with a tokenizer that drops white space and never merges across it, word by word.
+    """Encodes with the lower-casing tokenizer that drops white space and never merges across it,
+    word by word.
 
-    Ids of a text are then the ids of its words in order, and frequent words are encoded once.  The
-    cache holds a bounded number of short words as little-endian 32-bit ids, keyed by their UTF-8
-    bytes; anything else is encoded each time.
+    Ids of a text are the ids of its words in order; ids of a plain word are those of its pieces,
+    anything else goes through the whole tokenizer.  Frequent words and pieces are encoded once:
+    bounded caches hold short ones as little-endian 32-bit ids, keyed by their UTF-8 bytes.
     """
 
     def __init__(self, path: str):
@@ -26,10 +56,15 @@ class WordEncoder(dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.pieces = _Pieces(self.tokenizer)
 
     def __missing__(self, word: bytes) -> bytes:
-        encoding = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4").tobytes()
+        found = PIECE.findall(word.lower())
+        if sum(map(len, found)) == len(word):
+            ids = b"".join(map(self.pieces.__getitem__, found))
+        else:
+            encoding = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False)
+            ids = _packed(encoding.ids)
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
                 self.clear()
