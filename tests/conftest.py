@@ -18,6 +18,11 @@ def pytest_addoption(parser):
     )
 
 
+def pytest_ignore_collect(collection_path, config):
+    if collection_path.name == "test_golden.py" and not config.getoption("--golden-dir"):
+        return True
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(

@@ -49,3 +49,13 @@ def test_halves_round_up(spark):
         Decimal("0.00"),
         None,
     ]
+
+
+def test_ratios_of_the_largest_sums(spark):
+    row = spark.sql("select 1000000000000000000 as total, 3 as n, 922337203685477580 as many")
+    found = row.select(
+        quotient(F.col("total"), F.col("many")).alias("a"),
+        percentage(F.col("many"), F.col("total")).alias("b"),
+        quotient(F.col("total").cast("decimal(28,2)"), F.col("n") * 1000).alias("c"),
+    ).first()
+    assert [str(v) for v in found] == ["1.08", "92.23", "333333333333333.33"]

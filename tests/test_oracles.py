@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.compare import duck, duck_rows, spark_rows
+from tillroll.plans import catalog, oracles
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -27,5 +28,10 @@ def test_matches_sql(spark, con, name):
     assert rows == wanted
 
 
+def test_entry_points_hold_all_of_them():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0

@@ -84,10 +84,13 @@ def test_row_batch(spark):
 
 def test_parse_dates(spark):
     leap_day = datetime.date(2024, 2, 29)
-    given = ["2024-02-29", "2023-02-29", "", None, "2024", "not a date", "never"]
-    text = spark.createDataFrame([(d,) for d in given], "d string")
-    parsed = [r["d"] for r in files.parse_dates(text, ["d"]).collect()]
-    assert parsed == [leap_day] + [None] * 6
+    fits = ["2024-02-29", "2024-02-29 00:00:00", " 2024-02-29", "2024-02-29T23:59:59.5Z", "2024-2-29 "]
+    lost = ["2023-02-29", "", "2024", "not a date", "never", "2024-02-29x", "20240229"]
+    text = spark.createDataFrame([(d,) for d in [*fits, None, *lost]], "d string")
+    parsed = files.parse_dates(text, ["d"], misfits_as="lost").collect()
+    assert [r["d"] for r in parsed] == [leap_day] * len(fits) + [None] * (1 + len(lost))
+    assert [r["lost"] for r in parsed] == [[]] * (len(fits) + 1) + [["d"]] * len(lost)
+    assert files.parse_dates(text, ["d"]).columns == ["d"]
     other = spark.createDataFrame([("29.02.2024",), ("2024-02-29",)], "d string")
     parsed = [r["d"] for r in files.parse_dates(other, ["d"], "dd.MM.yyyy").collect()]
     assert parsed == [leap_day, None]
@@ -116,5 +119,7 @@ def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == configured
     kept = session.materialise(spark.range(3), "three")
-    assert kept.inputFiles()[0].startswith(f"file://{configured}/three-")
+    own = session.scratch_dir(spark)
+    assert own.startswith(f"{configured}/")
+    assert kept.inputFiles()[0].startswith(f"file://{own}/three-")
     assert kept.count() == 3

@@ -7,6 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Status and payment names.
 DELIVERED = "Delivered"
 RETURNED = "Returned"
 CANCELLED = "Cancelled"
@@ -26,18 +27,19 @@ def whole_cents(amount: Column) -> Column:
 def quotient(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` rounded half up to two decimals, exactly.
 
-    The division is done once on whole numbers, so neither floating point nor an intermediate
-    rounding can move a value across a half.  A zero denominator gives NULL.
+    The division is done once on wide decimals, so neither floating point nor an intermediate
+    rounding can move a value across a half, and sums over the largest groups do not overflow.  A
+    zero denominator gives NULL.
     """
-    safe = F.nullif(denominator, F.lit(0))
-    size = F.call_function("div", F.abs(numerator) * 200 + safe, safe * 2)
+    safe = F.nullif(denominator.cast("decimal(30,0)"), F.lit(0))
+    size = F.call_function("div", F.abs(numerator).cast("decimal(30,2)") * 200 + safe, safe * 2)
     hundredths = size * F.when(numerator < 0, -1).otherwise(1)
     return (hundredths.cast("decimal(19,0)") * HUNDREDTH).cast("decimal(19,2)")
 
 
 def percentage(part: Column, whole: Column) -> Column:
     """Share of ``part`` in ``whole`` in percent, two decimals."""
-    return quotient(part * 100, whole)
+    return quotient(part.cast("decimal(26,2)") * 100, whole)
 
 
 def money(amount: Column) -> Column:
@@ -69,7 +71,8 @@ def mean_discount_pct(list_price: str = "list_price") -> Column:
     price = F.nullif(whole_cents(F.col(list_price)), F.lit(0))
     doubled = whole_cents(F.col("discount_amount")) * (200 * RATIO_UNITS)
     millionths = F.call_function("div", doubled + price, price * 2)
-    return quotient(F.sum(millionths), F.count(millionths) * RATIO_UNITS)
+    lines = F.count(millionths).cast("decimal(20,0)")
+    return quotient(F.sum(millionths.cast("decimal(20,0)")), lines * RATIO_UNITS)
 
 
 def month_start(day: str = "order_date") -> Column:

@@ -86,31 +86,13 @@ def running_totals(
     amount: str,
     number_as: str,
     total_as: str,
-    group_limit: int,
-    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Row number and running sum of ``amount`` within ``group``, following ``order``.
 
-    ``(group, *order)`` must be unique.  As long as the largest group has at most ``group_limit``
-    rows this is a window per group.  Beyond that the rows are cut into even ranges, each range
-    is summed on its own, and every group carries the sums of its earlier ranges forward.
-
-    The largest group is counted first, in ``sized_by`` if given: a table that is cheaper to
-    compute than ``df`` and whose groups are at least as large.
+    ``(group, *order)`` must be unique.  The rows are cut into even ranges, whatever the groups'
+    sizes; each range is summed on its own, and every group carries the sums of its earlier ranges
+    forward.
     """
-    sizes = (df if sized_by is None else sized_by).groupBy(group).agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= group_limit:
-        per_group = Window.partitionBy(group).orderBy(*order)
-        return df.withColumns(
-            {
-                number_as: F.row_number().over(per_group).cast("bigint"),
-                total_as: F.sum(amount).over(
-                    per_group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-                ),
-            }
-        )
-
     ranged = materialise(
         df.repartitionByRange(group, *order).withColumn("part", F.spark_partition_id()),
         "running-totals",

@@ -11,9 +11,6 @@ from tillroll.functions.numeric import DELIVERED, money, month_start, month_text
 from tillroll.functions.ranges import running_totals
 from tillroll.operators.revenue import order_totals
 
-# Above this many orders a single customer's running total is computed in ranges.
-CUSTOMER_ORDER_LIMIT = 1_000_000
-
 
 def top_customers(
     customers: DataFrame, orders: DataFrame, payments: DataFrame, limit: int = 10
@@ -46,15 +43,14 @@ def top_customers(
 def repeat_rate(orders: DataFrame) -> DataFrame:
     """Share of buying customers with at least two delivered orders, one row.
 
-    A customer has two different orders exactly if the lowest and highest order id differ, which
-    one partial aggregation can tell; counting distinct ids would need a second shuffle.
+    Orders are made distinct and counted by hash aggregation, whatever the type of the ids.
     """
     return (
         orders.filter(F.col("order_status") == DELIVERED)
         .groupBy("customer_id")
-        .agg(F.min("order_id").alias("low"), F.max("order_id").alias("high"))
+        .agg(F.count_distinct("order_id").alias("orders"))
         .agg(
-            F.count_if(F.col("low") < F.col("high")).alias("repeat_customers"),
+            F.count_if(F.col("orders") > 1).alias("repeat_customers"),
             F.count("*").alias("total_customers"),
         )
         .withColumn(
@@ -64,7 +60,8 @@ def repeat_rate(orders: DataFrame) -> DataFrame:
 
 
 def cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    """Customers of each signup month active in each later month.
+    """Customers of each signup month active in each later month; those without a signup date
+    are one cohort without months.
 
     Orders are first reduced to one row per customer and month, on the map side too, so a
     customer with very many orders reaches the join as a handful of rows.
@@ -77,16 +74,14 @@ def cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
     signups = customers.select("customer_id", month_start("signup_date").alias("signup_month"))
     return (
         active.join(signups, "customer_id")
-        .groupBy("signup_month", "active_month")
-        .agg(F.count_distinct("customer_id").alias("active_customers"))
-        .select(
+        .groupBy(
             month_text("signup_month").alias("cohort_month"),
             # a whole number, as both are month starts
             F.months_between("active_month", "signup_month")
             .cast("bigint")
             .alias("months_since_signup"),
-            "active_customers",
         )
+        .agg(F.count_distinct("customer_id").alias("active_customers"))
         .orderBy("cohort_month", "months_since_signup")
     )
 
@@ -124,14 +119,16 @@ def customer_history(
 
 
 def running_spend(
-    orders: DataFrame, payments: DataFrame, group_limit: int = CUSTOMER_ORDER_LIMIT
+    customers: DataFrame, orders: DataFrame, payments: DataFrame
 ) -> DataFrame:
-    """Every paid, delivered order with its number and the customer's spend so far.
+    """Every paid, delivered order of a known customer with its number and the customer's spend
+    so far.
 
     Same-day orders follow their order id.
     """
-    spend = order_totals(orders, payments, "customer_id", "order_date")
-    delivered = orders.filter(F.col("order_status") == DELIVERED)
+    spend = order_totals(orders, payments, "customer_id", "order_date").join(
+        customers.select("customer_id"), "customer_id", "left_semi"
+    )
     return running_totals(
         spend,
         group="customer_id",
@@ -139,6 +136,4 @@ def running_spend(
         amount="grand_total",
         number_as="order_number",
         total_as="running_total_spend",
-        group_limit=group_limit,
-        sized_by=delivered,  # payments are one per order, so joining them adds no rows
     ).select("customer_id", "order_id", "order_date", "order_number", "running_total_spend")

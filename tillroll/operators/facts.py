@@ -16,6 +16,7 @@ from tillroll.functions.numeric import (
     line_revenue,
     month_start,
 )
+from tillroll.operators.revenue import fact_orders
 from tillroll.sources.files import ORDER_MONTH
 from tillroll.sources.schemas import Star
 
@@ -37,7 +38,7 @@ def joined(star: Star) -> DataFrame:
     return lines.join(headers, "order_id").join(star.payments, "order_id")
 
 
-# The columns of the fact table by the table they come from; keys are listed once.
+# The columns of the fact table by the table they come from; keys are listed once.
 FACT_SOURCES = {
     "orders": (
         "order_id",
@@ -148,6 +149,7 @@ def fact_null_summary(star: Star) -> DataFrame:
     )
 
 
+# The columns of the sample.
 SAMPLE_COLUMNS = (
     "order_id",
     "order_date",
@@ -162,31 +164,58 @@ SAMPLE_COLUMNS = (
 )
 
 
+def _of_orders(star: Star, ids: DataFrame) -> Star:
+    """The star narrowed to some orders: their headers, lines and payments, and their buyers.
+
+    ``ids`` holds order_id, each once.  Where it is small Spark broadcasts it, and lines and
+    payments of other orders are dropped ahead of any shuffle.
+    """
+    kept = {
+        table: getattr(star, table).join(ids, "order_id", "left_semi")
+        for table in ("orders", "order_items", "payments")
+    }
+    buyers = kept["orders"].select("customer_id").distinct()
+    return Star(
+        customers=star.customers.join(buyers, "customer_id", "left_semi"),
+        products=star.products,
+        **kept,
+    )
+
+
 def fact_sample(star: Star, rows: int = 1000, ordered: bool = True) -> DataFrame:
     """A narrow extract of ``rows`` lines.
 
-    Ordered, it is the same sample each time; unordered, Spark may stop as soon as it has enough.
+    Ordered, it is the same sample each time: as every order of the fact table has a line, the
+    lines of its ``rows`` lowest order ids are enough to sort.  Unordered, Spark may stop as soon
+    as it has enough.
     """
-    narrow = joined(star).select(*SAMPLE_COLUMNS)
-    if ordered:
-        rest = [c for c in SAMPLE_COLUMNS if c != "order_id"]
-        narrow = narrow.orderBy("order_id", *rest)
-    return narrow.limit(rows)
+    if not ordered:
+        return joined(star).select(*SAMPLE_COLUMNS).limit(rows)
+    present = fact_orders(
+        star.orders.select("order_id", "customer_id"),
+        star.payments,
+        star.order_items,
+        star.products,
+        star.customers,
+    )
+    lowest = present.select("order_id").distinct().orderBy("order_id").limit(rows)
+    rest = [c for c in SAMPLE_COLUMNS if c != "order_id"]
+    return (
+        joined(_of_orders(star, lowest))
+        .select(*SAMPLE_COLUMNS)
+        .orderBy("order_id", *rest)
+        .limit(rows)
+    )
 
 
-def fact_query(
-    star: Star,
+def chosen_orders(
+    orders: DataFrame,
     start: datetime.date | None = None,
     end: datetime.date | None = None,
     channel: str | None = None,
-    category: str | None = None,
 ) -> DataFrame:
-    """Fact rows of a date range (both ends included), sales channel and product category.
-
-    Every parameter is optional.  Filters are applied to the scans, ahead of all joins; orders
-    stored by month are pruned to the months of the range.
-    """
-    orders, products = star.orders, star.products
+    """Orders of a date range (both ends included) and a sales channel; orders stored by month are
+    pruned to the months of the range."""
     by_month = ORDER_MONTH in orders.columns
     if start is not None:
         orders = orders.filter(F.col("order_date") >= F.lit(start))
@@ -198,7 +227,26 @@ def fact_query(
             orders = orders.filter(F.col(ORDER_MONTH) <= F.lit(end.replace(day=1)))
     if channel is not None:
         orders = orders.filter(F.col("channel") == channel)
+    return orders
+
+
+def fact_query(
+    star: Star,
+    start: datetime.date | None = None,
+    end: datetime.date | None = None,
+    channel: str | None = None,
+    category: str | None = None,
+) -> DataFrame:
+    """Fact rows of a date range (both ends included), sales channel and product category.
+
+    Every parameter is optional.  Orders are chosen first, by filters that reach their scan; lines
+    and payments are then narrowed to the chosen orders, and products to the category.
+    """
+    products = star.products
     if category is not None:
         products = products.filter(F.col("category") == category)
+    orders = chosen_orders(star.orders, start, end, channel)
     narrowed = Star(star.customers, products, orders, star.order_items, star.payments)
+    if (start, end, channel) != (None, None, None):
+        narrowed = _of_orders(narrowed, orders.select("order_id").distinct())
     return fact_table(narrowed)

@@ -17,7 +17,7 @@ from tillroll.functions.numeric import (
     quotient,
 )
 from tillroll.operators.products import sold_lines
-from tillroll.operators.revenue import with_lines
+from tillroll.operators.revenue import fact_orders
 
 
 def delivery_time(orders: DataFrame) -> DataFrame:
@@ -71,20 +71,15 @@ def return_rate_by_carrier(orders: DataFrame) -> DataFrame:
 
 def return_rate_carrier_chart(
     orders: DataFrame,
-    payments: DataFrame | None = None,
-    order_items: DataFrame | None = None,
+    payments: DataFrame,
+    order_items: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
 ) -> DataFrame:
-    """Returned orders among all orders, cancelled ones included, per carrier.
-
-    With ``payments`` and ``order_items`` only orders present in the fact table count; leave them
-    out where every order is known to have a payment and lines.
-    """
-    if payments is not None:
-        orders = orders.join(payments.select("order_id"), "order_id", "left_semi")
-    if order_items is not None:
-        orders = with_lines(orders, order_items)
+    """Returned orders among all orders of the fact table, cancelled ones included, per carrier."""
+    present = fact_orders(orders, payments, order_items, products, customers)
     rates = status_rate(
-        orders, F.col("ship_carrier"), RETURNED, "total", "returned", "return_rate_%"
+        present, F.col("ship_carrier"), RETURNED, "total", "returned", "return_rate_%"
     )
     return rates.orderBy(F.desc("return_rate_%"), "ship_carrier")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -163,13 +163,21 @@ def null_summary(df: DataFrame) -> DataFrame:
     return null_counts(df).filter(F.col("null_count") > 0)
 
 
-def preview(df: DataFrame, rows: int, order: Sequence[str]) -> DataFrame:
-    """First rows in ``order``, together with the table's row and column count."""
+def preview(
+    df: DataFrame,
+    rows: int,
+    order: Sequence[str],
+    complete: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """First rows in ``order``, together with the table's row and column count.
+
+    ``complete`` attaches costly columns to the chosen rows, so that ``df`` need not have them.
+    """
     total = df.agg(F.count("*").alias("row_count"))
-    return (
-        df.orderBy(*order)
-        .limit(rows)
-        .withColumns({"row_count": total.scalar(), "column_count": F.lit(len(df.columns))})
+    first = df.orderBy(*order).limit(rows)
+    shown = first if complete is None else complete(first)
+    return shown.withColumns(
+        {"row_count": total.scalar(), "column_count": F.lit(len(shown.columns))}
     )
 
 

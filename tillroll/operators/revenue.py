@@ -41,13 +41,29 @@ def order_totals(
     return chosen.join(payments.select("order_id", "grand_total"), "order_id")
 
 
-def with_lines(orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Orders that have at least one line, each once.
+def fact_orders(
+    orders: DataFrame,
+    payments: DataFrame,
+    order_items: DataFrame,
+    products: DataFrame,
+    customers: DataFrame | None,
+) -> DataFrame:
+    """The orders of the fact table, each once: those of a known customer, with a payment, and
+    with a line of a known product.
 
     Order ids are made distinct on the line side first, which shrinks an order with very many
-    lines to one row per task before anything is shuffled.
+    lines to one row per task before it is shuffled.  Leave ``customers`` out to test them later,
+    on rows per customer.
     """
-    return orders.join(order_items.select("order_id").distinct(), "order_id", "left_semi")
+    known = order_items.select("order_id", "product_id").join(
+        products.select("product_id"), "product_id", "left_semi"
+    )
+    present = orders.join(known.select("order_id").distinct(), "order_id", "left_semi").join(
+        payments.select("order_id"), "order_id", "left_semi"
+    )
+    if customers is None:
+        return present
+    return present.join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
 def status_distribution(orders: DataFrame) -> DataFrame:
@@ -62,27 +78,49 @@ def status_distribution(orders: DataFrame) -> DataFrame:
 
 
 def status_counts(
-    orders: DataFrame, payments: DataFrame, order_items: DataFrame
+    orders: DataFrame,
+    payments: DataFrame,
+    order_items: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
 ) -> DataFrame:
-    """Orders per status among those present in the fact table (paid for in any way, with lines)."""
+    """Orders per status among those present in the fact table (paid for in any way)."""
     return (
-        with_lines(orders, order_items)
-        .join(payments.select("order_id"), "order_id", "left_semi")
+        fact_orders(orders, payments, order_items, products, customers)
         .groupBy("order_status")
         .agg(F.count("*").alias("count"))
         .orderBy(F.desc("count"), "order_status")
     )
 
 
-def total_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Realised and received revenue, one row."""
-    return order_totals(orders, payments).agg(money(F.sum("grand_total")).alias("total_revenue"))
+def total_revenue(
+    orders: DataFrame,
+    payments: DataFrame,
+    statuses: Sequence[str] = REALISED,
+    payment_statuses: Sequence[str] | None = SETTLED,
+) -> DataFrame:
+    """Revenue of the chosen order and payment statuses (None: paid or not), one row."""
+    chosen = order_totals(
+        orders, payments, statuses=statuses, payment_statuses=payment_statuses
+    )
+    return chosen.agg(money(F.sum("grand_total")).alias("total_revenue"))
 
 
-def monthly_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Orders and revenue per month."""
+def monthly_revenue(
+    orders: DataFrame,
+    payments: DataFrame,
+    statuses: Sequence[str] = REALISED,
+    payment_statuses: Sequence[str] | None = SETTLED,
+) -> DataFrame:
+    """Orders and revenue per month, of the chosen order and payment statuses."""
     return (
-        order_totals(orders, payments, "order_date")
+        order_totals(
+            orders,
+            payments,
+            "order_date",
+            statuses=statuses,
+            payment_statuses=payment_statuses,
+        )
         .groupBy(month_start().alias("month"))
         .agg(
             F.count_distinct("order_id").alias("order_count"),
@@ -93,10 +131,22 @@ def monthly_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def channel_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Orders and revenue per month and sales channel."""
+def channel_revenue(
+    orders: DataFrame,
+    payments: DataFrame,
+    statuses: Sequence[str] = REALISED,
+    payment_statuses: Sequence[str] | None = SETTLED,
+) -> DataFrame:
+    """Orders and revenue per month and sales channel, of the chosen statuses."""
     return (
-        order_totals(orders, payments, "order_date", "channel")
+        order_totals(
+            orders,
+            payments,
+            "order_date",
+            "channel",
+            statuses=statuses,
+            payment_statuses=payment_statuses,
+        )
         .groupBy(month_start().alias("month"), "channel")
         .agg(
             F.count_distinct("order_id").alias("orders"),
@@ -107,10 +157,21 @@ def channel_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def daily_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """Billed and received revenue per day."""
+def daily_revenue(
+    orders: DataFrame,
+    payments: DataFrame,
+    statuses: Sequence[str] = BILLED,
+    payment_statuses: Sequence[str] | None = SETTLED,
+) -> DataFrame:
+    """Revenue per day, of the chosen order and payment statuses."""
     return (
-        order_totals(orders, payments, "order_date", statuses=BILLED)
+        order_totals(
+            orders,
+            payments,
+            "order_date",
+            statuses=statuses,
+            payment_statuses=payment_statuses,
+        )
         .groupBy("order_date")
         .agg(money(F.sum("grand_total")).alias("revenue"))
         .orderBy("order_date")
@@ -118,17 +179,17 @@ def daily_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def monthly_revenue_chart(
-    orders: DataFrame, payments: DataFrame, order_items: DataFrame | None = None
+    orders: DataFrame,
+    payments: DataFrame,
+    order_items: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
 ) -> DataFrame:
-    """Billed and received revenue per month start.
-
-    With ``order_items`` only orders that have lines count, as in the line-grain fact table.
-    Leave it out where every order is known to have lines; that saves the semi join.
-    """
-    if order_items is not None:
-        orders = with_lines(orders, order_items)
+    """Billed and received revenue of the fact table's orders per month start."""
+    billed = orders.filter(F.col("order_status").isin(*BILLED))
+    present = fact_orders(billed, payments, order_items, products, customers)
     return (
-        order_totals(orders, payments, "order_date", statuses=BILLED)
+        order_totals(present, payments, "order_date", statuses=BILLED)
         .groupBy(month_start().alias("order_month"))
         .agg(F.sum("grand_total").alias("grand_total"))
         .orderBy("order_month")

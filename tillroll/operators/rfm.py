@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import quotient
 from tillroll.functions.ranges import VALUE_TYPE, Position, SortedMetrics
-from tillroll.operators.revenue import order_totals, with_lines
+from tillroll.operators.revenue import REALISED, fact_orders, order_totals
 from tillroll.session import materialise
 
 METRICS = ("recency", "frequency", "monetary")
@@ -21,27 +21,32 @@ LOWEST_SEGMENT = "At-Risk"
 
 
 def rfm_base(
-    orders: DataFrame, payments: DataFrame, order_items: DataFrame | None = None
+    orders: DataFrame,
+    payments: DataFrame,
+    order_items: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
 ) -> DataFrame:
-    """Last order, orders, spend and recency of every customer with a delivered, paid order.
+    """Last order, orders, spend and recency of every customer with a delivered, paid order in
+    the fact table.
 
-    Recency counts from the day after the newest such order.  With ``order_items`` only orders
-    that have lines count, as in the line-grain fact table; they are filtered by a semi join, so
-    no amount is ever repeated per line.
+    Recency counts from the day after the newest such order.  Orders are chosen by semi joins, so
+    no amount is ever repeated per line; customers are tested once orders are summed.
 
     The customer rows are written to the shared folder once: the newest date, and all that
     follows from this table, then reads them instead of joining orders and payments again.
     """
-    if order_items is not None:
-        orders = with_lines(orders, order_items)
+    realised = orders.filter(F.col("order_status").isin(*REALISED))
+    present = fact_orders(realised, payments, order_items, products, None)
     per_customer = (
-        order_totals(orders, payments, "customer_id", "order_date")
+        order_totals(present, payments, "customer_id", "order_date")
         .groupBy("customer_id")
         .agg(
             F.max("order_date").alias("last_order"),
             F.count_distinct("order_id").alias("frequency"),
             F.coalesce(F.sum("grand_total"), F.lit(0)).alias("monetary"),
         )
+        .join(customers.select("customer_id"), "customer_id", "left_semi")
     )
     stored = materialise(per_customer, "rfm-base")
     newest = stored.agg(F.max("last_order")).scalar()

@@ -20,9 +20,10 @@ from tillroll.operators import (
     revenue,
     rfm,
 )
-from tillroll.session import scratch_path, tune
+from tillroll.plans.load import load_star
+from tillroll.session import materialise, scratch_path, tune
 from tillroll.sources import files
-from tillroll.sources.schemas import TABLES
+from tillroll.sources.schemas import TABLES, Star
 from tillroll.sources.wholesale import AS_OF, CASH_SEGMENT, Wholesale
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,23 @@ def queries() -> dict[str, Query]:
     return {name: bound(build) for name, build in _REGISTRY.items()}
 
 
+# Tables that several queries read, stored once for each application and folder; the folder's
+# tables are taken as fixed meanwhile, as everywhere in a session.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored(w: Wholesale, name: str, build: Callable[[Wholesale], DataFrame]) -> DataFrame:
+    key = (w.spark.sparkContext.applicationId, w.folder, name)
+    if key not in _STORED:
+        _STORED[key] = build(w)
+    return _STORED[key]
+
+
+def forget_stored() -> None:
+    """Build stored tables anew when they are next needed, as after their folder was cleared."""
+    _STORED.clear()
+
+
 def _query(build: Callable[[Wholesale], DataFrame]) -> Callable[[Wholesale], DataFrame]:
     _REGISTRY[build.__name__] = build
     return build
@@ -90,6 +108,39 @@ def src_csv(w: Wholesale) -> DataFrame:
     return files.accepted(files.read_csv(orders.sparkSession, path, "orders"))
 
 
+@_query
+def src_load(w: Wholesale) -> DataFrame:
+    """Rows and quarantined lines of each table after a load from CSV; some lines do not fit."""
+    spark = w.spark
+    root = scratch_path(spark, "star-csv")
+    for name, table in w.tables().items():
+        files.write_csv(table, f"{root}/{name}")
+    misfits = w.orders("order_id").filter(F.col("order_id") % 97 == 0)
+    misfits.select(
+        F.lit("X").alias("order_id"),
+        F.lit("Y").alias("customer_id"),
+        F.concat(F.lit("day "), F.col("order_id").cast("string")).alias("order_date"),
+    ).write.option("header", True).csv(f"{root}/misfits")
+    paths = {name: f"{root}/{name}" for name in TABLES}
+    loaded = load_star(
+        spark,
+        paths | {"orders": [f"{root}/orders", f"{root}/misfits"]},
+        scratch_path(spark, "star"),
+        multi_line=True,
+    )
+    lost = [
+        lines.agg(F.count("*").alias("rejected_lines")).select(
+            F.lit(name).alias("name"), "rejected_lines"
+        )
+        for name, lines in loaded.rejected.items()
+    ]
+    per_table = lost[0]
+    for part in lost[1:]:
+        per_table = per_table.unionAll(part)
+    counted = loaded.row_counts
+    return counted.join(per_table, F.col("table_name") == F.col("name")).drop("name")
+
+
 @_query
 def src_rows(w: Wholesale) -> DataFrame:
     paid = w.payments("order_id", "payment_method", "grand_total", "payment_status")
@@ -128,9 +179,15 @@ def src_parse_dates(w: Wholesale) -> DataFrame:
         F.coalesce(F.col("delivered_date").cast("string"), F.lit("not yet")).alias(
             "delivered_date"
         ),
-        F.col("signup_date").cast("string").alias("signup_date"),
+        F.concat(F.lit(" "), F.col("signup_date").cast("string")).alias("signup_date"),
+    ).withColumn(
+        "order_date",
+        F.when(F.col("order_id") % 3 == 0, F.concat("order_date", F.lit(" 23:59:00")))
+        .when(F.col("order_id") % 7 == 0, F.lit("2024-13-45"))
+        .otherwise(F.col("order_date")),
     )
-    return files.parse_dates(text, ["order_date", "delivered_date", "signup_date"])
+    days = files.parse_dates(text, ["order_date", "delivered_date", "signup_date"], misfits_as="m")
+    return days.withColumn("misfits", F.array_join("m", ",")).drop("m")
 
 
 @_query
@@ -202,10 +259,7 @@ def dq_default(w: Wholesale) -> DataFrame:
 
 @_query
 def q01_dup_emails(w: Wholesale) -> DataFrame:
-    # the source has no repeated address; product names do repeat
-    return quality.duplicates(
-        w.products("product_name").withColumnRenamed("product_name", "email"), ["email"]
-    )
+    return quality.duplicates(w.customers("email"), ["email"])
 
 
 @_query
@@ -225,7 +279,9 @@ def describe_metrics(w: Wholesale) -> DataFrame:
 
 @_query
 def preview(w: Wholesale) -> DataFrame:
-    return quality.preview(w.orders(), PREVIEW_ROWS, ["order_id"])
+    return quality.preview(
+        w.orders("order_id"), PREVIEW_ROWS, ["order_id"], lambda ids: w.orders(only=ids)
+    )
 
 
 # --- distribution and revenue ------------------------------------------------------------------
@@ -245,10 +301,20 @@ def q03_status_dist(w: Wholesale) -> DataFrame:
     return revenue.status_distribution(w.orders("order_status"))
 
 
+def _fact_keys(w: Wholesale, *payment_columns: str, paid_only: bool = False) -> list[DataFrame]:
+    """Payments, lines, products and customers, with the keys that make an order a fact."""
+    return [
+        w.payments("order_id", *payment_columns, paid_only=paid_only),
+        w.order_items("order_id", "product_id"),
+        w.products("product_id"),
+        w.customers("customer_id"),
+    ]
+
+
 @_query
 def status_counts_distinct(w: Wholesale) -> DataFrame:
     return revenue.status_counts(
-        w.orders("order_id", "order_status"), w.payments("order_id"), w.order_items("order_id")
+        w.orders("order_id", "customer_id", "order_status"), *_fact_keys(w)
     )
 
 
@@ -275,10 +341,27 @@ def daily_revenue(w: Wholesale) -> DataFrame:
 @_query
 def monthly_revenue_chart(w: Wholesale) -> DataFrame:
     return revenue.monthly_revenue_chart(
-        *_revenue_tables(w, "order_date", statuses=revenue.BILLED), w.order_items("order_id")
+        w.orders(
+            "order_id", "customer_id", "order_date", "order_status", statuses=revenue.BILLED
+        ),
+        *_fact_keys(w, "grand_total", "payment_status", paid_only=True),
     )
 
 
+@_query
+def q04_delivered_revenue(w: Wholesale) -> DataFrame:
+    orders = w.orders("order_id", "order_status", statuses=revenue.REALISED)
+    payments = w.payments("order_id", "grand_total")
+    return revenue.total_revenue(orders, payments, payment_statuses=None)
+
+
+@_query
+def q05_delivered_by_month(w: Wholesale) -> DataFrame:
+    orders = w.orders("order_id", "order_status", "order_date", statuses=revenue.REALISED)
+    payments = w.payments("order_id", "grand_total")
+    return revenue.monthly_revenue(orders, payments, payment_statuses=None)
+
+
 # --- customers ---------------------------------------------------------------------------------
 
 
@@ -316,17 +399,27 @@ def q17_customer_history(w: Wholesale) -> DataFrame:
 
 @_query
 def q17b_running_spend(w: Wholesale) -> DataFrame:
-    return customers.running_spend(*_revenue_tables(w, "customer_id", "order_date"))
+    return customers.running_spend(
+        w.customers("customer_id"), *_revenue_tables(w, "customer_id", "order_date")
+    )
 
 
 def _base(w: Wholesale) -> DataFrame:
-    return rfm.rfm_base(
-        *_revenue_tables(w, "customer_id", "order_date"), w.order_items("order_id")
-    )
+    def build(w: Wholesale) -> DataFrame:
+        orders = ("order_id", "customer_id", "order_date", "order_status")
+        return rfm.rfm_base(
+            w.orders(*orders, statuses=revenue.REALISED),
+            *_fact_keys(w, "grand_total", "payment_status", paid_only=True),
+        )
+
+    return _stored(w, "rfm-base", build)
 
 
 def _segmented(w: Wholesale) -> DataFrame:
-    return rfm.rfm_segment(rfm.rfm_scores(_base(w)))
+    def build(w: Wholesale) -> DataFrame:
+        return materialise(rfm.rfm_segment(rfm.rfm_scores(_base(w))), "rfm-segmented")
+
+    return _stored(w, "rfm-segmented", build)
 
 
 @_query
@@ -336,7 +429,7 @@ def rfm_base(w: Wholesale) -> DataFrame:
 
 @_query
 def rfm_scores(w: Wholesale) -> DataFrame:
-    return rfm.rfm_scores(_base(w)).select(
+    return _segmented(w).select(
         "customer_id", "R_score", "F_score", "M_score", "RFM_score"
     )
 
@@ -385,7 +478,13 @@ def q10b_category_quantity(w: Wholesale) -> DataFrame:
 
 @_query
 def top_categories_chart(w: Wholesale) -> DataFrame:
-    return products.top_categories_chart(*_sales_tables(w))
+    return products.top_categories_chart(
+        w.orders("order_id", "customer_id", "order_status", statuses=revenue.REALISED),
+        w.payments("order_id"),
+        w.order_items("order_id", "product_id", "quantity", "unit_price"),
+        w.products("product_id", "category"),
+        w.customers("customer_id"),
+    )
 
 
 @_query
@@ -441,9 +540,7 @@ def q14b_fixed(w: Wholesale) -> DataFrame:
 @_query
 def return_rate_carrier_chart(w: Wholesale) -> DataFrame:
     return operations.return_rate_carrier_chart(
-        w.orders("order_id", "order_status", "ship_carrier"),
-        w.payments("order_id"),
-        w.order_items("order_id"),
+        w.orders("order_id", "customer_id", "order_status", "ship_carrier"), *_fact_keys(w)
     )
 
 
@@ -470,6 +567,11 @@ def q18_basket_pairs(w: Wholesale) -> DataFrame:
     return basket.basket_pairs(*_sales_tables(w, (), ("brand",)), column="brand")
 
 
+@_query
+def q18_category_pairs(w: Wholesale) -> DataFrame:
+    return basket.basket_pairs(*_sales_tables(w, ()), min_orders=2)
+
+
 # --- fact table --------------------------------------------------------------------------------
 
 
@@ -478,6 +580,11 @@ def fact_table(w: Wholesale) -> DataFrame:
     return facts.fact_table(w.star())
 
 
+@_query
+def fact_derived(w: Wholesale) -> DataFrame:
+    return facts.derived(facts.fact_table(w.star()))
+
+
 @_query
 def fact_sample(w: Wholesale) -> DataFrame:
     return facts.fact_sample(w.star())
@@ -521,4 +628,15 @@ def order_month(w: Wholesale) -> DataFrame:
 
 @_query
 def param_query(w: Wholesale) -> DataFrame:
-    return facts.fact_query(w.star(), *PARAM_RANGE, PARAM_CHANNEL, PARAM_CATEGORY)
+    # delivery and signup dates are looked up for the chosen orders and their buyers only
+    chosen = facts.chosen_orders(
+        w.orders("order_id", "customer_id", "order_date", "channel"), *PARAM_RANGE, PARAM_CHANNEL
+    )
+    star = Star(
+        customers=w.customers(only=chosen.select("customer_id").distinct()),
+        products=w.products(),
+        orders=w.orders(only=chosen.select("order_id").distinct()),
+        order_items=w.order_items(),
+        payments=w.payments(),
+    )
+    return facts.fact_query(star, *PARAM_RANGE, PARAM_CHANNEL, PARAM_CATEGORY)

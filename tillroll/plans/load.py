@@ -30,16 +30,18 @@ def load_star(
     csv: Mapping[str, str | list[str]],
     target: str,
     expected: Mapping[str, int] | None = None,
+    multi_line: bool = False,
 ) -> Loaded:
     """Read the five tables' CSV files, store them under ``target``, and report on the result.
 
-    ``csv`` names the files or folders of each table.  Every table is parsed and written once,
-    quarantined lines included, and the checks read the stored columns they need.  Nothing is
-    dropped silently and nothing stops the load; look at the reports.
+    ``csv`` names the files or folders of each table.  Every table is written once, quarantined
+    lines included, and the checks read the stored columns they need.  Nothing is dropped silently
+    and nothing stops the load; look at the reports.  ``multi_line`` admits line breaks inside
+    quotes, at the price of reading each file in one task.
     """
     stored, rejected = {}, {}
     for table in TABLES:
-        parsed = files.read_csv(spark, csv[table], table)
+        parsed = files.read_csv(spark, csv[table], table, multi_line)
         written = files.write_loaded(parsed, f"{target}/{table}", table)
         stored[table] = quality.with_defaults(files.accepted(written), table)
         rejected[table] = files.rejected(written)

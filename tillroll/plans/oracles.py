@@ -66,14 +66,14 @@ _FACT = """fact AS (
     JOIN star_customers c USING (customer_id))"""
 
 _FACT_ORDERS = """fact_orders AS (
-    SELECT * FROM star_orders
-    WHERE order_id IN (SELECT order_id FROM star_items)
-      AND order_id IN (SELECT order_id FROM star_payments))"""
+    SELECT DISTINCT order_id, ship_carrier, order_status FROM fact)"""
 
 _RFM = """spend AS (
-    SELECT customer_id, max(order_date) AS last_order, count(DISTINCT order_id) AS frequency,
+    SELECT customer_id, max(order_date) AS last_order, count(*) AS frequency,
            sum(grand_total) AS monetary
-    FROM paid WHERE order_id IN (SELECT order_id FROM star_items) GROUP BY customer_id),
+    FROM (SELECT DISTINCT order_id, customer_id, order_date, grand_total FROM fact
+          WHERE order_status = 'Delivered' AND payment_status = 'Paid')
+    GROUP BY customer_id),
 base AS (
     SELECT *, datediff('day', last_order, (SELECT max(last_order) FROM spend) + 1) AS recency
     FROM spend)"""
@@ -224,7 +224,7 @@ def _describe() -> str:
         + " FROM summed"
         for name, rule in rows.items()
     )
-    return _with(body, _PAID, _RFM, summed + " FROM base)")
+    return _with(body, _FACT, _RFM, summed + " FROM base)")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -258,11 +258,17 @@ def oracle_sql() -> dict[str, str]:
     )
     sql["src_parse_dates"] = _with(
         f"""SELECT order_id, {_day('order_date')}, {_day('delivered_date')},
-                   {_day('signup_date')}
-            FROM star_orders JOIN star_customers USING (customer_id)"""
+                   {_day('signup_date')},
+                   concat_ws(',', CASE WHEN order_date IS NULL THEN 'order_date' END,
+                             CASE WHEN delivered_date IS NULL THEN 'delivered_date' END)
+                       AS misfits
+            FROM (SELECT * REPLACE (CASE WHEN order_id % 3 = 0 OR order_id % 7 <> 0
+                                         THEN order_date END AS order_date)
+                  FROM star_orders) AS dated
+            JOIN star_customers USING (customer_id)"""
     )
     sql["snk_csv"] = _with(
-        f"SELECT {_RFM_OUT}, {_SCORES_OUT}, segment FROM segmented", _PAID, _RFM, _SCORED
+        f"SELECT {_RFM_OUT}, {_SCORES_OUT}, segment FROM segmented", _FACT, _RFM, _SCORED
     )
     sql["row_counts"] = _with(
         "\nUNION ALL ".join(
@@ -291,11 +297,18 @@ def oracle_sql() -> dict[str, str]:
         )
     )
     sql["dq_default"] = _with(_defaults())
-    sql["q01_dup_emails"] = """
-        SELECT email, n AS count
-        FROM (SELECT p_name AS email, count(*) AS n FROM part WHERE p_name IS NOT NULL
-              GROUP BY p_name)
-        WHERE n > 1"""
+    sql["q01_dup_emails"] = _with(
+        """SELECT email, count(*) AS count FROM star_customers WHERE email IS NOT NULL
+           GROUP BY email HAVING count(*) > 1"""
+    )
+    sql["src_load"] = _with(
+        "\nUNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS row_count, "
+            + ("count(*) FILTER (order_id % 97 = 0)" if t == "orders" else "0::BIGINT")
+            + f" AS rejected_lines FROM {alias}"
+            for t, alias in _ALIASES.items()
+        )
+    )
     sql["q02_null_audit"] = _with(
         """SELECT order_status, count(*) AS total_orders,
                   count(*) - count(delivered_date) AS null_delivered_date,
@@ -323,6 +336,16 @@ def oracle_sql() -> dict[str, str]:
     sql["q04_total_revenue"] = _with(
         "SELECT CAST(sum(grand_total) AS DOUBLE) AS total_revenue FROM paid", _PAID
     )
+    delivered = """FROM star_orders JOIN star_payments USING (order_id)
+                   WHERE order_status = 'Delivered'"""
+    sql["q04_delivered_revenue"] = _with(
+        f"SELECT CAST(sum(grand_total) AS DOUBLE) AS total_revenue {delivered}"
+    )
+    sql["q05_delivered_by_month"] = _with(
+        f"""SELECT {month} AS month, count(DISTINCT order_id) AS order_count,
+                   CAST(sum(grand_total) AS DOUBLE) AS monthly_revenue
+            {delivered} GROUP BY 1"""
+    )
     sql["q05_monthly_revenue"] = _with(
         f"""SELECT {month} AS month, count(DISTINCT order_id) AS order_count,
                    CAST(sum(grand_total) AS DOUBLE) AS monthly_revenue
@@ -376,19 +399,10 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT customer_id, full_name, {_day('first_order_date')}, {_day('last_order_date')},
                    datediff('day', last_order_date, DATE '{AS_OF}') AS days_since_last_order,
                    total_orders, CAST(lifetime_value AS DOUBLE) AS lifetime_value
-            FROM (SELECT customer_id, first_order_date, last_order_date,
-                         max(place) AS total_orders, max(so_far) AS lifetime_value
-                  FROM (SELECT customer_id,
-                               min(order_date) OVER (PARTITION BY customer_id)
-                                   AS first_order_date,
-                               max(order_date) OVER (PARTITION BY customer_id) AS last_order_date,
-                               row_number() OVER in_turn AS place,
-                               sum(grand_total) OVER in_turn AS so_far
-                        FROM paid
-                        WINDOW in_turn AS (PARTITION BY customer_id
-                                           ORDER BY order_date, order_id
-                                           ROWS UNBOUNDED PRECEDING))
-                  GROUP BY ALL)
+            FROM (SELECT customer_id, min(order_date) AS first_order_date,
+                         max(order_date) AS last_order_date, count(*) AS total_orders,
+                         sum(grand_total) AS lifetime_value
+                  FROM paid GROUP BY customer_id)
             JOIN star_customers USING (customer_id)""",
         _PAID,
     )
@@ -396,17 +410,17 @@ def oracle_sql() -> dict[str, str]:
         """SELECT customer_id, order_id, strftime(order_date, '%Y-%m-%d') AS order_date,
                   row_number() OVER in_turn AS order_number,
                   CAST(sum(grand_total) OVER in_turn AS DOUBLE) AS running_total_spend
-           FROM paid
+           FROM paid JOIN star_customers USING (customer_id)
            WINDOW in_turn AS (PARTITION BY customer_id ORDER BY paid.order_date, order_id
                               ROWS UNBOUNDED PRECEDING)""",
         _PAID,
     )
-    sql["rfm_base"] = _with(f"SELECT {_RFM_OUT} FROM base", _PAID, _RFM)
+    sql["rfm_base"] = _with(f"SELECT {_RFM_OUT} FROM base", _FACT, _RFM)
     sql["rfm_scores"] = _with(
-        f"SELECT customer_id, {_SCORES_OUT} FROM segmented", _PAID, _RFM, _SCORED
+        f"SELECT customer_id, {_SCORES_OUT} FROM segmented", _FACT, _RFM, _SCORED
     )
     sql["rfm_segment"] = _with(
-        "SELECT customer_id, segment FROM segmented", _PAID, _RFM, _SCORED
+        "SELECT customer_id, segment FROM segmented", _FACT, _RFM, _SCORED
     )
     sql["rfm_segment_summary"] = _with(
         """SELECT segment, n AS customers,
@@ -415,12 +429,12 @@ def oracle_sql() -> dict[str, str]:
            FROM (SELECT segment, count(*) AS n, CAST(sum(monetary) * 100 AS HUGEINT) AS cents,
                         sum(frequency) AS orders
                  FROM segmented GROUP BY segment)""",
-        _PAID,
+        _FACT,
         _RFM,
         _SCORED,
     )
     sql["rfm_segment_counts"] = _with(
-        "SELECT segment, count(*) AS count FROM segmented GROUP BY segment", _PAID, _RFM, _SCORED
+        "SELECT segment, count(*) AS count FROM segmented GROUP BY segment", _FACT, _RFM, _SCORED
     )
 
     sql["q10a_category_revenue"] = _with(
@@ -437,11 +451,11 @@ def oracle_sql() -> dict[str, str]:
         _SOLD,
     )
     sql["top_categories_chart"] = _with(
-        """SELECT category, CAST(sum(amount) AS DOUBLE) AS revenue,
+        """SELECT category, CAST(sum(quantity * unit_price) AS DOUBLE) AS revenue,
                   CAST(sum(quantity) AS BIGINT) AS quantity
-           FROM sold WHERE order_status = 'Delivered' GROUP BY category
-           ORDER BY sum(amount) DESC, category LIMIT 8""",
-        _SOLD,
+           FROM fact WHERE order_status = 'Delivered' GROUP BY category
+           ORDER BY sum(quantity * unit_price) DESC, category LIMIT 8""",
+        _FACT,
     )
     sql["q11_discount_impact"] = _with(
         """SELECT category, brand, count(*) AS line_items,
@@ -493,6 +507,7 @@ def oracle_sql() -> dict[str, str]:
         f"""SELECT ship_carrier, count(*) AS total, {returned} AS returned,
                    {_pct(returned, 'count(*)')} AS "return_rate_%"
             FROM fact_orders GROUP BY ship_carrier""",
+        _FACT,
         _FACT_ORDERS,
     )
     cancelled = "count(*) FILTER (order_status = 'Cancelled')"
@@ -516,20 +531,38 @@ def oracle_sql() -> dict[str, str]:
                   FROM sold WHERE order_status = 'Delivered' GROUP BY 1, 2) m""",
         _SOLD,
     )
-    sql["q18_basket_pairs"] = _with(
-        f"""SELECT category_1, category_2, pair_count,
-                   {_pct('pair_count', "(SELECT count(DISTINCT order_id) FROM star_orders "
-                         "WHERE order_status = 'Delivered')")} AS pct_of_orders
-            FROM (SELECT a.brand AS category_1, b.brand AS category_2, count(*) AS pair_count
-                  FROM has a JOIN has b ON a.order_id = b.order_id AND a.brand < b.brand
-                  GROUP BY 1, 2)
-            ORDER BY pair_count DESC, category_1, category_2 LIMIT 20""",
-        _SOLD,
-        "has AS (SELECT DISTINCT order_id, brand FROM sold WHERE order_status = 'Delivered')",
-    )
+    for name, column, least in (
+        ("q18_basket_pairs", "brand", 1),
+        ("q18_category_pairs", "category", 2),
+    ):
+        sql[name] = _with(
+            f"""SELECT category_1, category_2, count(*) AS pair_count,
+                       {_pct('count(*)', "(SELECT count(*) FROM star_orders "
+                             "WHERE order_status = 'Delivered')")} AS pct_of_orders
+                FROM (SELECT category_1, unnest(held[i + 1:]) AS category_2
+                      FROM (SELECT held, i, held[i] AS category_1
+                            FROM (SELECT held, unnest(range(1, len(held))) AS i FROM baskets)))
+                GROUP BY category_1, category_2 HAVING count(*) >= {least}
+                ORDER BY count(*) DESC, category_1, category_2 LIMIT 20""",
+            _SOLD,
+            f"""baskets AS (
+                SELECT list_sort(list_distinct(list({column}))) AS held
+                FROM sold WHERE order_status = 'Delivered' GROUP BY order_id)""",
+        )
 
     fact_columns = ", ".join(_plain(c) for c in FACT_COLUMNS)
     sql["fact_table"] = _with(f"SELECT {fact_columns} FROM fact", _FACT)
+    sql["fact_derived"] = _with(
+        f"""SELECT {fact_columns}, CAST(quantity * unit_price AS DOUBLE) AS revenue,
+                   CAST(quantity * (unit_price - unit_cost) AS DOUBLE) AS profit,
+                   {_pct('cut', 'price')} AS discount_pct,
+                   datediff('day', fact.order_date, fact.delivered_date) AS delivery_days,
+                   strftime(date_trunc('month', fact.order_date), '%Y-%m-%d') AS order_month
+            FROM (SELECT *, CAST(discount_amount * 100 AS BIGINT) AS cut,
+                         nullif(CAST(item_list_price * 100 AS BIGINT), 0) AS price
+                  FROM fact) AS fact""",
+        _FACT,
+    )
     sample_order = ", ".join(f"fact.{c}" for c in SAMPLE_COLUMNS)
     sql["fact_sample"] = _with(
         f"""SELECT {', '.join(_plain(c) for c in SAMPLE_COLUMNS)} FROM fact

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,23 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime SQL settings the operators rely on.  A hot order, customer or product is split by the
 # adaptive skew join; the "force" switch lets that happen even where the following aggregation
 # could have reused the join's partitioning (it then gets its own, pre-aggregated, exchange).
+# What counts as hot, partition sizes and partition counts are the cluster's to choose.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Sizes are compressed, and the rows of one key compress well: judge a partition hot by its
-    # size next to the others, with a low floor.  Splits never go below the usual partition size.
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16MB",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply those runtime settings that the session does not set itself."""
+    given = spark.conf.getAll
     for key, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(key, value)
+        if key not in given:
+            spark.conf.set(key, value)
     return spark
 
 
@@ -50,8 +49,7 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a local session, where driver and executors are one process, may fall back to a
-    temporary folder.
+    Only a session whose executors are threads of the driver may fall back to a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -59,15 +57,31 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tillroll-"))
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """This application's own folder in the shared one."""
+    return f"{shared_dir(spark)}/tillroll-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in the application's folder."""
+    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application.
+
+    Results that were not written or collected yet still read them, so call this once a result is
+    out, or at the end.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -116,21 +116,33 @@ def _typed(table: str, with_defaults: bool = False) -> list[Column]:
     return columns
 
 
+DATE_TEXT = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T][0-9:.]+(Z|[+-][0-9:]+)?)?\s*$"
+
+
 def parse_dates(
-    df: DataFrame, columns: Sequence[str], pattern: str | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    pattern: str | None = None,
+    misfits_as: str | None = None,
 ) -> DataFrame:
     """Turn text columns into dates; text that is no date becomes NULL.
 
-    Without a pattern the text is ``yyyy-MM-dd`` and parsed by a cast, several times faster than
-    a pattern.
+    Without a pattern the text is a date, or a date and a time, in ISO form, with or without
+    blanks around it, and parsed by a cast, several times faster than a pattern.  ``misfits_as``
+    names a column that lists, for each row, the columns whose text did not parse.
     """
 
     def parsed(column: str) -> Column:
         if pattern is not None:
             return F.try_to_date(column, pattern)
-        return F.when(F.length(column) == 10, F.try_to_date(column))
+        day = F.regexp_extract(F.trim(column), "^[0-9]+-[0-9]+-[0-9]+", 0)
+        return F.when(F.col(column).rlike(DATE_TEXT), F.try_to_date(day))
 
-    return df.withColumns({c: parsed(c) for c in columns})
+    dates = {c: parsed(c) for c in columns}
+    if misfits_as is None:
+        return df.withColumns(dates)
+    lost = [F.when(F.col(c).isNotNull() & dates[c].isNull(), F.lit(c)) for c in columns]
+    return df.withColumns({misfits_as: F.array_compact(F.array(*lost)), **dates})
 
 
 def query(
@@ -180,11 +192,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_loaded(loaded: DataFrame, path: str, table: str) -> DataFrame:
-    """Store a CSV load in one pass, fitting and quarantined lines apart, and open it.
+    """Store a CSV load, fitting and quarantined lines apart, and open it.
 
     The result is partitioned by ``fits``.  Orders are also partitioned by month, so that date
     ranges prune files; they are spread by range over (month, order), which splits a heavy month
-    over several tasks and files instead of sending it to one.
+    over several tasks and files instead of sending it to one, and reads the files once more, as
+    the bounds of the ranges are sampled first.
     """
     marked = with_fits(loaded)
     keys = [FITS]

@@ -6,8 +6,11 @@ wanted column comes from there.  ``ADAPTER_SQL`` states the same mapping as SQL,
 ============== ====================================================================
 canonical      source
 ============== ====================================================================
-customers      customer, with nation as city, region as state, first order as signup
-products       part, type as category, brand as brand, retail price as unit cost
+customers      customer, with nation as city, region as state, first order as signup; some
+               are left out (so that orders have unknown buyers), some share an address, and
+               some have no signup date
+products       part, type as category, brand as brand, retail price as unit cost; some are
+               left out
 orders         orders, status F/P/O as Delivered/Returned/Cancelled, priority as
                channel, market segment as payment method, region as carrier, newest
                line shipped on or after the order date as delivery date
@@ -34,6 +37,9 @@ STATUS = {"F": DELIVERED, "P": RETURNED, "O": CANCELLED}
 AS_OF = datetime.date(2001, 8, 2)
 FAILED_BELOW = 50_000
 CASH_SEGMENT = "HOUSEHOLD"
+KNOWN_CUSTOMER = "c_custkey % 50 <> 7"
+KNOWN_PRODUCT = "p_partkey % 40 <> 3"
+SIGNED_UP = "customer_id % 30 <> 11"
 
 _BUYER_COLUMNS = ("payment_method", "ship_carrier", "ship_city", "ship_state")
 
@@ -64,7 +70,9 @@ _STATUS_CASE = " ".join(f"WHEN '{letter}' THEN '{name}'" for letter, name in STA
 CUSTOMER_COLUMNS = {
     "customer_id": "c_custkey",
     "full_name": "c_name",
-    "email": "lower(translate(c_name, '#', '.'))",
+    # a few offices share one address
+    "email": "CASE WHEN c_custkey % 100 = 0 THEN concat('office', c_custkey % 700) "
+    "ELSE lower(translate(c_name, '#', '.')) END",
     "age": "CAST(floor(abs(c_acctbal) / 200) + 18 AS INT)",
     "segment": "c_mktsegment",
     # accounts in debt are closed, modest ones are not flagged and take the default
@@ -125,55 +133,76 @@ class Wholesale:
     """Canonical tables over a folder of wholesale Parquet tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark = spark
-        self._folder = folder
+        self.spark = spark
+        self.folder = folder
 
     def source(self, name: str) -> DataFrame:
-        path = f"{self._folder}/{name}.parquet"
-        key = (self._spark.sparkContext.applicationId, path)
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
         if key not in _SCHEMAS:
-            _SCHEMAS[key] = self._spark.read.parquet(path).schema
-        return self._spark.read.schema(_SCHEMAS[key]).parquet(path)
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
-    def customers(self, *columns: str) -> DataFrame:
+    def customers(self, *columns: str, only: DataFrame | None = None) -> DataFrame:
+        """Customers; ``only`` names the ids needed, and keeps other orders out of the search for
+        the first one."""
         wanted = _wanted("customers", columns)
         placed = not {"city", "state"}.isdisjoint(wanted)
         dated = "signup_date" in wanted
-        rows = self.source("customer")
+        rows = self.source("customer").filter(KNOWN_CUSTOMER)
+        ids = None if only is None else only.select(F.col("customer_id").alias("id"))
+        if ids is not None:
+            rows = rows.join(ids, F.col("c_custkey") == F.col("id"), "left_semi")
         if placed:
             rows = rows.join(self._places(), "c_nationkey", "left")
         mapping = CUSTOMER_COLUMNS | {"city": "city", "state": "state"}
         kept = _pick(rows, mapping, (*wanted, *(("customer_id",) if dated else ())))
         if dated:
+            bought = self.source("orders")
+            if ids is not None:
+                bought = bought.join(ids, F.col("o_custkey") == F.col("id"), "left_semi")
             first = (
-                self.source("orders")
-                .groupBy(F.col("o_custkey").alias("customer_id"))
+                bought.groupBy(F.col("o_custkey").alias("customer_id"))
                 .agg(F.expr("min(CAST(o_orderdate AS DATE))").alias("signup_date"))
+                .filter(SIGNED_UP)
             )
             kept = kept.join(first, "customer_id", "left")
         return kept.select(*wanted)
 
     def products(self, *columns: str) -> DataFrame:
-        return _pick(self.source("part"), PRODUCT_COLUMNS, _wanted("products", columns))
-
-    def orders(self, *columns: str, statuses: Sequence[str] | None = None) -> DataFrame:
-        """Orders; ``statuses`` names the only ones needed, as a filter the scan can push down."""
+        known = self.source("part").filter(KNOWN_PRODUCT)
+        return _pick(known, PRODUCT_COLUMNS, _wanted("products", columns))
+
+    def orders(
+        self,
+        *columns: str,
+        statuses: Sequence[str] | None = None,
+        only: DataFrame | None = None,
+    ) -> DataFrame:
+        """Orders; ``statuses`` names the only ones needed, as a filter the scan can push down,
+        and ``only`` the ids needed, which keeps other orders' lines out of the search for the
+        newest."""
         wanted = _wanted("orders", columns)
+        ids = None if only is None else only.select(F.col("order_id").alias("id"))
         dated = "delivered_date" in wanted
         bought = not set(_BUYER_COLUMNS).isdisjoint(wanted)
         stored = self.source("orders")
         if statuses is not None:
             letters = [letter for letter, name in STATUS.items() if name in statuses]
             stored = stored.filter(F.col("o_orderstatus").isin(letters))
+        if ids is not None:
+            stored = stored.join(ids, F.col("o_orderkey") == F.col("id"), "left_semi")
         helpers = ("order_id", "order_date", "order_status") if dated else ()
         rows = _pick(
             stored, ORDER_COLUMNS, (*wanted, *helpers, *(("customer_id",) if bought else ()))
         )
         if dated:
             # the newest line is the newest one on or after the order date, if there is any
+            lines = self.source("lineitem")
+            if ids is not None:
+                lines = lines.join(ids, F.col("l_orderkey") == F.col("id"), "left_semi")
             shipped = (
-                self.source("lineitem")
-                .groupBy(F.col("l_orderkey").alias("order_id"))
+                lines.groupBy(F.col("l_orderkey").alias("order_id"))
                 .agg(F.expr("max(CAST(l_shipdate AS DATE))").alias("shipped"))
             )
             rows = rows.join(shipped, "order_id", "left").withColumn(
@@ -237,7 +266,8 @@ ADAPTER_SQL = {
     "customers": """
         star_customers AS (
             SELECT c_custkey AS customer_id, c_name AS full_name,
-                   lower(translate(c_name, '#', '.')) AS email,
+                   CASE WHEN c_custkey % 100 = 0 THEN 'office' || (c_custkey % 700)
+                        ELSE lower(translate(c_name, '#', '.')) END AS email,
                    n_name AS city, r_name AS state,
                    CAST(floor(abs(c_acctbal) / 200) + 18 AS INTEGER) AS age,
                    c_mktsegment AS segment, signup_date,
@@ -247,7 +277,9 @@ ADAPTER_SQL = {
             LEFT JOIN nation ON n_nationkey = c_nationkey
             LEFT JOIN region ON r_regionkey = n_regionkey
             LEFT JOIN (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS signup_date
-                       FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey)""",
+                       FROM orders GROUP BY o_custkey)
+                ON o_custkey = c_custkey AND c_custkey % 30 <> 11
+            WHERE c_custkey % 50 <> 7)""",
     "products": """
         star_products AS (
             SELECT p_partkey AS product_id, p_brand || '-' || p_partkey AS sku,
@@ -258,7 +290,7 @@ ADAPTER_SQL = {
                    CAST(DATE '1995-01-01' + CAST(p_size * 30 AS INTEGER) AS DATE) AS launch_date,
                    CASE WHEN p_size > 45 THEN TRUE WHEN p_size > 10 THEN FALSE END
                        AS is_discontinued
-            FROM part)""",
+            FROM part WHERE p_partkey % 40 <> 3)""",
     "orders": """
         star_orders AS (
             SELECT o_orderkey AS order_id, o_custkey AS customer_id,
