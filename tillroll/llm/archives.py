@@ -215,10 +215,11 @@ def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 # --- tables -------------------------------------------------------------------------------------
 
 
-def _write_records(records: DataFrame, path: str, line_end: str) -> None:
-    """A column of bytes as gzip files, one per task."""
+def _write_records(records: DataFrame, path: str, line_end: str, level: str) -> None:
+    """A column of bytes as gzip files, one per task, at a compression level that Hadoop names."""
     lines = records.select(F.col("record").cast("string").alias("value"))
-    lines.write.option("lineSep", line_end).option("compression", "gzip").text(path)
+    writer = lines.write.option("lineSep", line_end).option("compression", "gzip")
+    writer.option("zlib.compress.level", level).text(path)
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:
@@ -255,7 +256,7 @@ def write_arc(pages: DataFrame, path: str, version: int) -> None:
         F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
-    _write_records(rows.mapInPandas(records, "record binary"), path, "\n")
+    _write_records(rows.mapInPandas(records, "record binary"), path, "\n", "BEST_SPEED")
 
 
 ARC_ROWS = (
@@ -365,7 +366,8 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, least_bytes: int
                 )
             yield pd.DataFrame({"record": out})
 
-    _write_records(rows.mapInPandas(records, "record binary"), warc_path, "\r\n")
+    records_of = rows.mapInPandas(records, "record binary")
+    _write_records(records_of, warc_path, "\r\n", "DEFAULT_COMPRESSION")
     return narrow.filter(F.col("problem").isNotNull()).select("archive", "offset", "problem")
 
 
