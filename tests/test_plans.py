@@ -187,3 +187,32 @@ def test_lines_of_a_hot_order_are_not_all_shuffled(spark, lopsided):
         )
     distinct = r"HashAggregate\(keys=\[order_id#\d+L?\]"
     assert re.search(distinct + r".*\n.*Exchange.*\n.*" + distinct, text), text
+
+
+def ancestors(text, scan):
+    """For each scan with this text, the operators above it up to the first shuffle."""
+    lines = text.split("\n")
+    depth = [len(re.match(r"[\s:|+*()0-9-]*", line)[0].rstrip("*(0123456789) ")) for line in lines]
+    for place, line in enumerate(lines):
+        if scan not in line:
+            continue
+        above, level = [], depth[place]
+        for upper in range(place - 1, -1, -1):
+            if depth[upper] < level:
+                level = depth[upper]
+                above.append(lines[upper])
+                if "Exchange hashpartitioning" in lines[upper]:
+                    break
+        yield above
+
+
+@pytest.mark.parametrize("name", ["param_query"])
+def test_lines_of_other_orders_are_not_shuffled(spark, name):
+    """A few chosen orders are broadcast, so other orders' lines go before any shuffle."""
+    query = catalog.queries()[name](spark, FOLDER)
+    query.collect()
+    text = plan(query).split("== Initial Plan ==")[0]
+    paths = list(ancestors(text, "FileScan parquet [l_orderkey"))
+    assert paths
+    for above in paths:
+        assert any("LeftSemi" in line for line in above), "\n".join(above)

@@ -74,11 +74,11 @@ def test_csv_round_trip(spark, tmp_path, table):
 
 def test_row_batch(spark):
     rows = [
-        ("O1", "COD", 18710.399999999998, 3367.87, 0, 22078.27, "Paid"),
+        ("O1", "COD", 0.1 + 0.2, 1.1 * 3, 0, 3.6, "Paid"),
         ("O2", "COD", None, 0.005, 0, 1, None),
     ]
     first, second = files.load_rows(spark, rows, "payments").orderBy("order_id").collect()
-    assert first["subtotal"] == Decimal("18710.40")
+    assert first["subtotal"] == Decimal("0.30") and first["tax_amount"] == Decimal("3.30")
     assert second["subtotal"] is None and second["tax_amount"] == Decimal("0.01")
 
 

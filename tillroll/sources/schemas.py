@@ -37,6 +37,7 @@ class TableSpec:
         return self.primary_key + tuple(c for c in self.required if c not in self.primary_key)
 
 
+# Columns, keys and defaults of the tables.
 CUSTOMERS = TableSpec(
     name="customers",
     columns=(
