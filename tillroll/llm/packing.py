@@ -36,8 +36,8 @@ WIDTH = 2048
 CLOSING_ID = 1
 BLOCK_TOKENS = 1 << 19
 SENTENCE_PENALTY = 2
-HARD_PENALTY = 32
-HARD_STEP = 64  # cuts inside a sentence lie this far apart
+HARD_PENALTY = 12
+HARD_STEP = 16  # cuts inside a sentence lie this far apart
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
