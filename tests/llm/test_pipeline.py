@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_contextual import plain_spans
@@ -92,3 +93,30 @@ def test_packing(steps):
 def test_run_equals_the_stages(spark, steps):
     found = sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).collect()))
     assert sorted(x[:5] for x in found) == sorted(tuple(r)[:5] for r in steps[5])
+
+
+ODD_COLUMNS = ("kept", "size", "spans", "copies", "root", "text_hash", "start", "rule", "weight", "ids")
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_stages_take_odd_rows(spark, docs, tmp_path, name, stage):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    long = " ".join(f"w{i % 5003}" for i in range(60_000))
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(1, None), (2, ""), (3, text, None), (4, long), (5, text), (5, text), (None, text + " x"),
+            (None, None), (None, None), (6, "mail a@b.cd " + text, "é")]
+    table = docs(rows)
+    for column in ODD_COLUMNS:
+        table = table.withColumn(column, F.lit(column))
+    table = table.withColumn("lang", F.lit(None).cast("string"))
+    out = stage(spark, table, str(tmp_path))
+    found = out.collect()
+    last = (name, stage) == corpus_pipeline.STAGES[-1]
+    assert found and (last or out.columns == table.columns)
+    if not last:
+        assert all(r[c] == c for r in found for c in ODD_COLUMNS)
+        assert {r.doc_id for r in found} <= {1, 2, 3, 4, 5, 6, None}
+    empty = stage(spark, table.filter("false"), str(tmp_path))
+    assert empty.count() == 0 and empty.columns == out.columns
