@@ -73,6 +73,11 @@ def planted():
     rows = []
     for i in range(40):
         rows.append((i, f"{word()} {word()} call me at +1 555 {i:03d} 2288 today {word()}"))
+    for i in range(30):
+        rows.append((200 + i, f"{word()} {word()} {word()} mail: {word()}{i}@{word()}.org {word()}"))
+        rows.append((300 + i, f"{word()} {word()} order {i}55501{i:02d}7 {word()}"))
+    rows.append((102, f"{word()} {word()} {word()} mail: me@localhost {word()}"))
+    rows.append((103, f"{word()} {word()} twitter you@localhost {word()}"))
     rows.append((100, "someone wrote call me at 555 010 2299 today, and more"))
     rows.append((101, "the invoice 555 010 2288 4 is unpaid"))
     return rows
@@ -80,25 +85,28 @@ def planted():
 
 def test_unseen_identifiers_are_found_by_context(docs):
     rows = {r.doc_id: r for r in contextual.personal_data(docs(planted())).collect()}
-    text = planted()[40][1]
+    text = dict(planted())[100]
     (added,) = [s for s in rows[100].spans]
     assert rows[100].base == [] and text[added["start"] : added["end"]] == "555 010 2299"
     assert added["rank"] == contextual.KINDS.index("phone")
     assert rows[101].spans == []
     assert all(len(rows[i].spans) == 1 for i in range(40))
+    (added,) = rows[102].spans
+    assert added["rank"] == contextual.KINDS.index("email") and rows[102].base == []
+    assert rows[103].spans == [] and all(rows[300 + i].spans == [] for i in range(30))
 
 
 def test_redaction(docs):
-    texts = [*planted(), (200, "é a@b.cd, +1 555 555 0100 4111-1111-1111-1111 x 1.2.3.4"), (201, None),
-             (202, "é a@b.cd, +1 555 555 0100; 4111-1111-1111-1111"), (None, "1.2.3.4 a@b.cc")]
+    texts = [*planted(), (400, "é a@b.cd, +1 555 555 0100 4111-1111-1111-1111 x 1.2.3.4"), (401, None),
+             (402, "é a@b.cd, +1 555 555 0100; 4111-1111-1111-1111"), (None, "1.2.3.4 a@b.cc")]
     table = docs(texts).withColumn("spans", F.lit(1))
     out = contextual.redacted(table)
     assert out.columns == table.columns
     rows = {r.doc_id: r for r in out.collect()}
-    assert rows[200].text == "é [EMAIL], +1 555 555 0100 4111-1111-1111-1111 x [IP]"
-    assert rows[202].text == "é [EMAIL], [PHONE]; [CARD]"
+    assert rows[400].text == "é [EMAIL], +1 555 555 0100 4111-1111-1111-1111 x [IP]"
+    assert rows[402].text == "é [EMAIL], [PHONE]; [CARD]"
     assert rows[100].text == "someone wrote call me at [PHONE] today, and more"
-    assert rows[101].text == texts[41][1] and rows[201].text is None
+    assert rows[101].text == dict(texts)[101] and rows[401].text is None
     assert rows[None].text == "[IP] [EMAIL]" and rows[None].n_chars == 12 and len(rows) == len(texts)
 
 

@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, extended by patterns bootstrapped from their contexts.
 
-The fixed (base) kinds are seeds.  The words around them become lexical patterns: "two words
-before", and "one word before with one word after".  Identifier-like strings that are no base
+The fixed (base) kinds are seeds.  The words around them become lexical patterns: "one word
+before", "two words before", and "one word before with one word after".  Identifier-like strings that are no base
 match, such as a number without the plus sign or an address without a dot, are candidates.  Patterns
 and the strings they surround form a graph.  In each round a pattern's confidence for a kind is the
 share of its strings that are believed to be of that kind, and a string's score follows from the
@@ -226,6 +226,7 @@ def bootstrap(occurrences: DataFrame) -> DataFrame:
     before, after = _context("before", "one before"), _context("after", "one after")
     two = _context("before", "two before")
     patterns = F.array(
+        F.when(before != "", F.concat(before, F.lit(" _"))),
         F.when(two != "", F.concat(two, F.lit(" _"))),
         F.when((before != "") & (after != ""), F.concat(before, F.lit(" _ "), after)),
     )
