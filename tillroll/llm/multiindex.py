@@ -38,6 +38,7 @@ BITS = 64
 SHARD_CODES = 8192
 BLOCK_QUERIES = 8192
 SALTS = 64
+MAX_TASKS = 20_000  # partitions of the search; beyond that a task searches several shards
 PROJECTION_SEED = 20
 CHUNK_PAIRS = 1 << 20
 
@@ -255,7 +256,9 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame
                     left -= 1
         return pd.DataFrame(out, dtype="int64")
 
-    answers = cells.groupBy("shard", "block").applyInPandas(
+    # a search takes long for its few bytes, so partitions must not be merged by their size
+    tasks = min(shards * blocks, MAX_TASKS)
+    answers = cells.repartition(tasks, "shard", "block").groupBy("shard", "block").applyInPandas(
         search, "query_id long, code long, neighbour_id long, distance long"
     )
     best = F.sort_array(F.collect_list(F.struct("distance", "neighbour_id")))
