@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # A word is a run of characters other than space and the five ASCII controls from tab on.
@@ -42,6 +42,19 @@ def text_hash(column: str = "text") -> Column:
     return F.xxhash64(F.col(column))
 
 
+def hash_sample(df: DataFrame, by: list[str], rows: int) -> list[Row]:
+    """The ``rows`` rows with the smallest hash of the columns ``by``, or all if there are fewer.
+
+    The same for the same rows, however they are partitioned.  Rows whose hash is well above are
+    dropped first, so that all tasks together send the driver about twice as many as are kept.
+    """
+    total = df.count()
+    order = F.xxhash64(*by)
+    if total > 2 * rows:
+        df = df.filter(order < F.lit(int(-(2**63) + 2 * rows / total * 2**64)))
+    return df.orderBy(order, *by).limit(rows).collect()
+
+
 def numbered(df: DataFrame, keys: list[str], label: str) -> DataFrame:
     """``df`` with ``position`` (gapless from 0 in key order) and ``total``, without a global sort
     in one task: ranges of the keys are sorted on their own and written once, then each range

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import read_table, text_hash, whole_text
+from tillroll.llm.common import hash_sample, read_table, text_hash, whole_text
 from tillroll.llm.components import star_components
 from tillroll.session import materialise
 
@@ -217,7 +217,7 @@ def fingerprint_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     connected by pairs at ``max_bits`` differing bits or fewer."""
     reach = max_bits // 2
     count = points.count()
-    chosen = points.orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()
+    chosen = hash_sample(points, ["fp"], TREE_SAMPLE)
     sample = np.array([row["fp"] for row in chosen], np.int64).view(np.uint64)
     depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(1, count) / LEAF_POINTS))))
     trees = [VantageTree.fit(half, depth, reach) for half in _halves(sample)]
