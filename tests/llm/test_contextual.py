@@ -96,6 +96,21 @@ def test_unseen_identifiers_are_found_by_context(docs):
     assert rows[103].spans == [] and all(rows[300 + i].spans == [] for i in range(30))
 
 
+def test_many_unseen_strings_do_not_silence_a_pattern(docs):
+    rows = [(i, f"w{i % 7} phone: +1 555 {i:03d} 2288 v{i}x") for i in range(20)]
+    rows += [(100 + i, f"u{i % 5} phone: 555 {i:03d} 7799 z{i}x") for i in range(200)]
+    rows += [(400 + i, f"t{i % 5} invoice 555 {i:03d} 6611 z{i}x") for i in range(50)]
+    # a word that stands before addresses oftener than before phones tells nothing of what follows
+    rows += [(500 + i, f"s{i}q number +1 555 {i:03d} 3388 y{i}x") for i in range(20)]
+    rows += [(600 + i, f"s{i}r number 4111-1111-1111-1111 y{i}x") for i in range(20)]
+    rows += [(700 + i, f"s{i}r number {i}.2.3.4 y{i}x") for i in range(30)]
+    rows += [(800 + i, f"s{i}o number 555 {i:03d} 5511 y{i}x") for i in range(20)]
+    found = {r.doc_id: r.spans for r in contextual.personal_data(docs(rows)).collect()}
+    assert all(len(found[100 + i]) == 1 and found[100 + i][0]["rank"] == 3 for i in range(200))
+    assert all(found[400 + i] == [] for i in range(50))
+    assert all(found[800 + i] == [] for i in range(20))
+
+
 def test_redaction(docs):
     texts = [*planted(), (400, "é a@b.cd, +1 555 555 0100 4111-1111-1111-1111 x 1.2.3.4"), (401, None),
              (402, "é a@b.cd, +1 555 555 0100; 4111-1111-1111-1111"), (None, "1.2.3.4 a@b.cc")]

@@ -4,9 +4,11 @@ The fixed (base) kinds are seeds.  The words around them become lexical patterns
 before", "two words before", and "one word before with one word after".  Identifier-like strings that are no base
 match, such as a number without the plus sign or an address without a dot, are candidates.  Patterns
 and the strings they surround form a graph.  In each round a pattern's confidence for a kind is the
-share of its strings that are believed to be of that kind, and a string's score follows from the
-patterns around it; strings believed in one round support further patterns in the next.  Candidates
-with a high score, and a form that suits the kind, are added.
+share of strings believed to be of that kind among those that are known to be of some kind, and a
+string's score follows from the patterns around it; strings believed in one round support further
+patterns in the next.  Strings of unknown kind do not speak against a pattern by their number, only
+by its logarithm, so that a pattern is not silenced by how many unseen identifiers it surrounds.
+Candidates with a high score, and a form that suits the kind, are added.
 
 Everything is SQL functions: matches come from regexp_extract_all, their places from the lengths of
 what a split by the same pattern leaves between them.
@@ -52,6 +54,7 @@ ROUNDS = 3
 MIN_SEEDS = 3  # different seeds a pattern must surround
 MIN_CONFIDENCE = 0.5  # of a pattern, to have a say
 MIN_SCORE = 0.8  # of a candidate, to be added
+UNKNOWN_WEIGHT = 0.25  # of the binary logarithm of how many fitting strings are of unknown kind
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -236,14 +239,25 @@ def bootstrap(occurrences: DataFrame) -> DataFrame:
         .distinct(),
         "context-graph",
     )
-    totals = edges.groupBy("pattern").agg(F.count_distinct("value").alias("strings"))
     seeds = edges.filter(F.col("kind").isNotNull())
+    totals = seeds.groupBy("pattern").agg(F.count("*").alias("known"))
     seeded = (
         seeds.groupBy("pattern", "kind")
         .agg(F.count("*").alias("seeds"))
         .filter(F.col("seeds") >= MIN_SEEDS)
     )
-    patterns = materialise(seeded.join(totals, "pattern"), "patterns")
+    unknown = (
+        edges.filter(F.col("kind").isNull())
+        .groupBy("pattern")
+        .agg(*[F.count_if(_fits(F.lit(k), F.col("value"))).alias(k) for k in KINDS])
+    )
+    open_of_kind = F.coalesce(*[F.when(F.col("kind") == k, F.col(k)) for k in KINDS], F.lit(0))
+    patterns = materialise(
+        seeded.join(totals, "pattern")
+        .join(unknown, "pattern", "left")
+        .select("pattern", "kind", "seeds", "known", open_of_kind.alias("unknown")),
+        "patterns",
+    )
     # only edges of patterns that have enough seeds can ever count
     open_edges = materialise(
         edges.filter(F.col("kind").isNull())
@@ -265,7 +279,14 @@ def bootstrap(occurrences: DataFrame) -> DataFrame:
             "pattern",
             "kind",
             F.least(
-                (F.col("seeds") + F.col("believed")) / (F.col("strings") + 1), F.lit(0.999)
+                (F.col("seeds") + F.col("believed"))
+                / (
+                    F.col("known")
+                    + F.col("believed")
+                    + UNKNOWN_WEIGHT * F.log2(1 + F.col("unknown"))
+                    + 1
+                ),
+                F.lit(0.999),
             ).alias("confidence"),
         ).filter(F.col("confidence") >= MIN_CONFIDENCE)
         scores = materialise(
