@@ -111,6 +111,20 @@ def test_many_unseen_strings_do_not_silence_a_pattern(docs):
     assert all(found[800 + i] == [] for i in range(20))
 
 
+def test_accepted_strings_seed_further_patterns(docs):
+    rows = [(i, f"a{i}b phone: +1 555 {i:03d} 2288 v{i}x") for i in range(20)]
+    # unseen numbers are accepted after "phone:", then lead over "tel" to "fon", each by themselves
+    rows += [(100 + i, f"c{i}d phone: 555 {i:03d} 7701 z{i}x") for i in range(20)]
+    rows += [(200 + i, f"e{i}f tel 555 {i:03d} 7701 z{i}x") for i in range(20)]
+    rows += [(300 + i, f"g{i}h tel 555 {i:03d} 8802 z{i}x") for i in range(20)]
+    rows += [(400 + i, f"i{i}j fon 555 {i:03d} 8802 z{i}x") for i in range(20)]
+    rows += [(500 + i, f"k{i}l fon 555 {i:03d} 9903 z{i}x") for i in range(5)]
+    rows += [(600 + i, f"m{i}n invoice 555 {i:03d} 6604 z{i}x") for i in range(20)]
+    found = {r.doc_id: r.spans for r in contextual.personal_data(docs(rows)).collect()}
+    assert all([s["rank"] for s in found[i]] == [3] for i, _ in rows if i < 600)
+    assert all(found[600 + i] == [] for i in range(20))
+
+
 def test_redaction(docs):
     texts = [*planted(), (400, "é a@b.cd, +1 555 555 0100 4111-1111-1111-1111 x 1.2.3.4"), (401, None),
              (402, "é a@b.cd, +1 555 555 0100; 4111-1111-1111-1111"), (None, "1.2.3.4 a@b.cc")]

@@ -5,17 +5,19 @@ before", "two words before", and "one word before with one word after".  Identif
 match, such as a number without the plus sign or an address without a dot, are candidates.  Patterns
 and the strings they surround form a graph.  In each round a pattern's confidence for a kind is the
 share of strings believed to be of that kind among those that are known to be of some kind, and a
-string's score follows from the patterns around it; strings believed in one round support further
-patterns in the next.  Strings of unknown kind do not speak against a pattern by their number, only
-by its logarithm, so that a pattern is not silenced by how many unseen identifiers it surrounds.
+string's score follows from the patterns around it.  Strings accepted in one round are seeds of
+further patterns in the next, until a round accepts none.  Strings of unknown kind do not speak
+against a pattern by their number, only by its logarithm, so that a pattern is not silenced by how
+many unseen identifiers it surrounds.
 Candidates with a high score, and a form that suits the kind, are added.
 
 Everything is SQL functions: matches come from regexp_extract_all, their places from the lengths of
 what a split by the same pattern leaves between them.
 
 Defined results: a null text counts as empty; a text without matches has an empty span list and
-the digest of the empty string; repeated rows get equal results; with fewer than MIN_SEEDS seeds in
-any context nothing is added; an empty table gives no rows.
+the digest of the empty string; repeated rows get equal results; a string keeps the kind it was
+first accepted as; with fewer than MIN_SEEDS seeds in any context nothing is added; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -50,7 +52,6 @@ CANDIDATE = (
     r"|(?<![0-9A-Za-z.+-])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+"
 )
 CONTEXT_CHARS = 64
-ROUNDS = 3
 MIN_SEEDS = 3  # different seeds a pattern must surround
 MIN_CONFIDENCE = 0.5  # of a pattern, to have a say
 MIN_SCORE = 0.8  # of a candidate, to be added
@@ -239,69 +240,85 @@ def bootstrap(occurrences: DataFrame) -> DataFrame:
         .distinct(),
         "context-graph",
     )
-    seeds = edges.filter(F.col("kind").isNotNull())
-    totals = seeds.groupBy("pattern").agg(F.count("*").alias("known"))
-    seeded = (
-        seeds.groupBy("pattern", "kind")
-        .agg(F.count("*").alias("seeds"))
-        .filter(F.col("seeds") >= MIN_SEEDS)
-    )
-    unknown = (
-        edges.filter(F.col("kind").isNull())
-        .groupBy("pattern")
-        .agg(*[F.count_if(_fits(F.lit(k), F.col("value"))).alias(k) for k in KINDS])
-    )
-    open_of_kind = F.coalesce(*[F.when(F.col("kind") == k, F.col(k)) for k in KINDS], F.lit(0))
-    patterns = materialise(
-        seeded.join(totals, "pattern")
-        .join(unknown, "pattern", "left")
-        .select("pattern", "kind", "seeds", "known", open_of_kind.alias("unknown")),
-        "patterns",
+    # a pattern with fewer strings than MIN_SEEDS can never have enough seeds, and one without
+    # candidates has nothing to tell
+    strings = edges.groupBy("pattern").agg(
+        F.count("*").alias("strings"), F.count_if(F.col("kind").isNull()).alias("unseen")
     )
-    # only edges of patterns that have enough seeds can ever count
+    telling = strings.filter((F.col("strings") >= MIN_SEEDS) & (F.col("unseen") > 0))
     open_edges = materialise(
         edges.filter(F.col("kind").isNull())
         .select("pattern", "value")
-        .join(patterns.select("pattern").distinct(), "pattern"),
+        .join(telling.select("pattern"), "pattern"),
         "open-edges",
     )
-    scores = None
-    for _ in range(ROUNDS):
-        support = patterns.withColumn("believed", F.lit(0.0))
-        if scores is not None:
-            gained = (
-                open_edges.join(scores, "value")
-                .groupBy("pattern", "kind")
-                .agg(F.sum("score").alias("believed"))
-            )
-            support = patterns.join(gained, ["pattern", "kind"], "left").fillna(0.0, ["believed"])
-        confident = support.select(
-            "pattern",
-            "kind",
-            F.least(
-                (F.col("seeds") + F.col("believed"))
-                / (
-                    F.col("known")
-                    + F.col("believed")
-                    + UNKNOWN_WEIGHT * F.log2(1 + F.col("unknown"))
-                    + 1
-                ),
-                F.lit(0.999),
-            ).alias("confidence"),
-        ).filter(F.col("confidence") >= MIN_CONFIDENCE)
-        scores = materialise(
-            open_edges.join(confident, "pattern")
+    base_seeds = materialise(
+        edges.filter(F.col("kind").isNotNull())
+        .join(telling.select("pattern"), "pattern", "left_semi")
+        .groupBy("pattern")
+        .agg(*[F.count_if(F.col("kind") == k).alias(f"base_{k}") for k in KINDS]),
+        "base-seeds",
+    )
+    first = -F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
+    accepted = None
+    while True:
+        state = open_edges.withColumn("kind", F.lit(None).cast("string"))
+        if accepted is not None:
+            state = open_edges.join(accepted.select("value", "kind"), "value", "left")
+        support = _support(state, base_seeds)
+        scores = (
+            state.filter(F.col("kind").isNull())
+            .drop("kind")
+            .join(support, "pattern")
             .filter(_fits(F.col("kind"), F.col("value")))
             .groupBy("value", "kind")
             # 1 - product of (1 - confidence); rounded, so that order of summing does not show
-            .agg(F.round(1 - F.exp(F.sum(F.log(1 - F.col("confidence")))), 9).alias("score")),
-            "scores",
+            .agg(F.round(1 - F.exp(F.sum(F.log(1 - F.col("confidence")))), 9).alias("score"))
         )
-    first = -F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
-    best = scores.groupBy("value").agg(
-        F.max(F.struct("score", first.alias("first"), "kind")).alias("best")
+        best = scores.groupBy("value").agg(
+            F.max(F.struct("score", first.alias("first"), "kind")).alias("best")
+        )
+        found = materialise(
+            best.select("value", "best.kind", "best.score").filter(F.col("score") >= MIN_SCORE),
+            "accepted",
+        )
+        if accepted is not None and found.isEmpty():
+            return accepted
+        accepted = found if accepted is None else materialise(accepted.unionAll(found), "accepted")
+
+
+def _support(state: DataFrame, base_seeds: DataFrame) -> DataFrame:
+    """(pattern, kind, confidence) of the confident patterns, given the edges of all candidates
+    with the kind of those that are accepted by now."""
+    known = F.col("kind").isNotNull()
+    candidates = state.groupBy("pattern").agg(
+        *[F.count_if(F.col("kind") == k).alias(f"won_{k}") for k in KINDS],
+        *[F.count_if(~known & _fits(F.lit(k), F.col("value"))).alias(f"open_{k}") for k in KINDS],
+    )
+    rows = candidates.join(base_seeds, "pattern", "left").fillna(0)
+    believed = {k: F.col(f"base_{k}") + F.col(f"won_{k}") for k in KINDS}
+    total = sum(believed.values(), F.lit(0))
+    kinds = F.array(
+        *[
+            F.struct(
+                F.lit(k).alias("kind"),
+                believed[k].alias("seeds"),
+                F.col(f"open_{k}").alias("unknown"),
+            )
+            for k in KINDS
+        ]
+    )
+    confidence = F.least(
+        F.col("seeds") / (F.col("known") + UNKNOWN_WEIGHT * F.log2(1 + F.col("unknown")) + 1),
+        F.lit(0.999),
+    )
+    return (
+        rows.select("pattern", total.alias("known"), F.explode(kinds).alias("of"))
+        .select("pattern", "known", "of.*")
+        .filter(F.col("seeds") >= MIN_SEEDS)
+        .select("pattern", "kind", confidence.alias("confidence"))
+        .filter(F.col("confidence") >= MIN_CONFIDENCE)
     )
-    return best.select("value", "best.kind", "best.score").filter(F.col("score") >= MIN_SCORE)
 
 
 def personal_data(
