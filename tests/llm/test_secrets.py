@@ -84,6 +84,41 @@ def test_layers_are_unwrapped_and_mapped(name):
     assert {s[1] for s in added} <= {0, 1}
 
 
+def lines(data, width, end="\n"):
+    whole = b64(data)
+    return end.join(whole[i : i + width] for i in range(0, len(whole), width))
+
+
+@pytest.mark.parametrize("prefix", ["/login/", "img_", "a-", "x", "ab", "abc", "/", "path/to_"])
+def test_base64_after_other_characters_of_its_alphabet(prefix):
+    for data in (f"the key is {KEY} ok", f"key {KEY} ok!", f"a key: {KEY} ok",
+                 gzip.compress(ASSIGNED.encode()), zstandard.compress(b"x " + KEY.encode())):
+        inner = b64(data)
+        for tail in ("", "/x"):
+            text = f"é see {prefix}{inner.rstrip('=')}{tail} after"
+            _, spans, _ = secrets.find_secrets(text)
+            at = text.index(prefix)
+            assert spans and all(at <= a and b <= at + len(prefix + inner + tail) for a, _, b in spans)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\n> ", "\\n"])
+@pytest.mark.parametrize("width", [10, 64, 76])
+def test_base64_goes_on_over_line_breaks(end, width):
+    noise = " ".join(hashlib.sha256(bytes([i])).hexdigest()[:20] for i in range(30))
+    secret = f"{noise} {ASSIGNED} {noise}"
+    for data in (secret, gzip.compress(secret.encode())):
+        block = lines(data, width, end)
+        text = f"é the file\n{block}\nthe end"
+        base, spans, _ = secrets.find_secrets(text)
+        added = [(a, b) for a, kind, b in spans if kind == 0]
+        assert base == [] and added
+        assert all(text.index(block) <= a for a, _ in added)
+    text = f"é the file\n{lines(secret, width, end)}\nthe end"
+    ((a, b),) = [(a, b) for a, kind, b in secrets.find_secrets(text)[1] if kind == 0]
+    held = re.sub(r"(\\n|[^A-Za-z0-9+/])", "", text[a:b])
+    assert any(ASSIGNED[2:-2] in str(secrets.decoded("A" * i + held)) for i in range(4))
+
+
 def test_escapes_map_to_the_character():
     text = "a token%3Dabcd%65fgh b"
     _, spans, _ = secrets.find_secrets(text)

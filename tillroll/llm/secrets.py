@@ -1,11 +1,14 @@
 """Secrets in texts and in whatever the texts wrap: a worklist of decoded layers.
 
 A text is the first layer.  A layer gives further ones: itself with percent escapes decoded, itself
-with character escapes decoded, and each run of base64 that holds text or a compressed stream of
-text.  Each new layer is scanned and decoded in turn until nothing new appears; a layer that was
+with character escapes decoded, and what each run of base64 holds, as text or as compressed streams
+of text.  What stands before base64 may look like a part of it ("/login/", "img_"), so a run is
+decoded from each of its first four characters, and streams are looked for all along it.  A run goes
+on over line breaks.  Each new layer is scanned and decoded in turn until nothing new appears; a layer that was
 already seen for the same stretch of the document is not opened again, so a stream that unpacks to
 itself ends there.  A find in a layer is mapped back to the stretch of the document that it was
-decoded from: to the character for escapes, to the whole run for base64.
+decoded from: to the character for escapes; for base64 to the whole run if it is read from its first
+character and on one line, else to the characters that hold the find or the stream with it.
 
 Defined results: a null text counts as empty; a text without finds has an empty list and the digest
 of the empty string; a find that maps to a span already listed is listed once; repeated rows get
@@ -15,7 +18,6 @@ n_unopened; an empty table gives no rows.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -50,7 +52,15 @@ ESCAPE = re.compile(
     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+"
 )
 ESCAPED = re.compile(r"\\[uUx]\{?([0-9A-Fa-f]+)\}?|&#[xX]([0-9A-Fa-f]+);|&#([0-9]+);")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# runs of base64, going on over line breaks (also escaped ones, and with quoting in the margin)
+BASE64 = re.compile(
+    r"[A-Za-z0-9+/_-]+(?:[\x20\t]*+(?:\r?\n|\r|(?:\\r)?\\n)[\x20\t>]*+[A-Za-z0-9+/_-]+)*+={0,2}"
+)
+BREAK = re.compile(r"[\x20\t]*+(?:\r?\n|\r|(?:\\r)?\\n)[\x20\t>]*+")
+MIN_RUN = 16
+MAGIC = re.compile(
+    rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd"
+)
 
 Span = tuple[int, int, int]  # start, place of the kind, end
 
@@ -92,17 +102,17 @@ class Layer:
                 continue
             low, high = self.origin(m.start(), m.end())
             parts += [self.text[at : m.start()], plain]
-            starts += [self._bounds(at, m.start(), 0), np.full(len(plain), low, np.int64)]
-            ends += [self._bounds(at, m.start(), 1), np.full(len(plain), high, np.int64)]
+            starts += [self.bounds(at, m.start(), 0), np.full(len(plain), low, np.int64)]
+            ends += [self.bounds(at, m.start(), 1), np.full(len(plain), high, np.int64)]
             at = m.end()
         if not parts:
             return None
         parts.append(self.text[at:])
-        starts.append(self._bounds(at, len(self.text), 0))
-        ends.append(self._bounds(at, len(self.text), 1))
+        starts.append(self.bounds(at, len(self.text), 0))
+        ends.append(self.bounds(at, len(self.text), 1))
         return Layer("".join(parts), np.concatenate(starts), np.concatenate(ends))
 
-    def _bounds(self, start: int, end: int, upper: int) -> np.ndarray:
+    def bounds(self, start: int, end: int, upper: int) -> np.ndarray:
         if self.starts is None:
             return np.arange(start + upper, end + upper)
         own = (self.starts, self.ends)[upper]
@@ -158,15 +168,15 @@ def inflated(data: bytes) -> bytes | None:
     return out
 
 
-def unwrapped(run: str) -> str | None:
-    """The text in a run of base64, through any number of compressed streams."""
+def decoded(run: str) -> bytes:
+    """The bytes in base64 from its first character on; a last character too many is left out."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
+    body = body[: len(body) - (len(body) % 4 == 1)]
+    return binascii.a2b_base64(body + "=" * (-len(body) % 4))
+
+
+def opened(data: bytes) -> bytes | None:
+    """What is left after any number of compressed streams; None if one unpacks to itself."""
     seen = set()
     while (inner := inflated(data)) is not None:
         digest = hashlib.sha1(inner).digest()
@@ -174,17 +184,62 @@ def unwrapped(run: str) -> str | None:
             return None
         seen.add(digest)
         data = inner
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and re.sub(r"[\n\r\t]", "", text).isprintable() else None
+    return data
+
+
+def as_text(data: bytes) -> str:
+    """A character for each byte: all that is looked for is ASCII, so other bytes may be anything."""
+    return data.decode("latin-1")
+
+
+def unwrapped(run: str) -> str | None:
+    """The text in a run of base64, through any number of compressed streams."""
+    data = opened(decoded(run))
+    return as_text(data) if data else None
+
+
+def wrapped_layers(layer: Layer, m: re.Match, unopened: list) -> Iterator[Layer]:
+    """Layers that a run of base64 gives, read from each of its first four characters."""
+    breaks = list(BREAK.finditer(m[0]))
+    run = BREAK.sub("", m[0]) if breaks else m[0]
+    if len(run.rstrip("=")) < MIN_RUN:
+        return
+    places = np.arange(len(m[0]))
+    if breaks:
+        places = np.delete(places, np.concatenate([np.arange(*b.span()) for b in breaks]))
+    starts = layer.bounds(m.start(), m.end(), 0)[places]
+    ends = layer.bounds(m.start(), m.end(), 1)[places]
+    for first in range(4):
+        data = decoded(run[first:])
+        whole = first == 0 and not breaks
+        if whole:
+            try:
+                inner = unwrapped(run)
+            except TooLarge:
+                unopened.append(m[0])
+            else:
+                if inner is not None:
+                    yield Layer(inner, *layer.origin(m.start(), m.end()))
+        else:
+            at = np.arange(len(data))
+            yield Layer(as_text(data), starts[first + at * 4 // 3], ends[first + (at * 4 + 3) // 3])
+        for stream in MAGIC.finditer(data, 1 if whole else 0):
+            at = stream.start()
+            try:
+                inner = inflated(data[at:])
+                inner = inner and opened(inner)
+            except TooLarge:
+                unopened.append(m[0])
+                continue
+            if inner:
+                held = slice(first + at * 4 // 3, None)
+                yield Layer(as_text(inner), int(starts[held].min()), int(ends[held].max()))
 
 
 def find_secrets(text: str) -> tuple[list[Span], list[Span], int]:
     """(finds in the text itself, all finds, streams too large to open)."""
     base = sorted(scan(text))
-    spans, unopened = set(base), 0
+    spans, unopened = set(base), []
     worklist, seen = [Layer(text)], set()
     while worklist:
         layer = worklist.pop()
@@ -194,13 +249,8 @@ def find_secrets(text: str) -> tuple[list[Span], list[Span], int]:
         if "\\" in layer.text or "&#" in layer.text:
             new.append(layer.replaced(ESCAPE, unescaped))
         for m in BASE64.finditer(layer.text):
-            try:
-                inner = unwrapped(m[0])
-            except TooLarge:
-                unopened += 1
-                continue
-            if inner is not None:
-                new.append(Layer(inner, *layer.origin(m.start(), m.end())))
+            if m.end() - m.start() >= MIN_RUN:
+                new += wrapped_layers(layer, m, unopened)
         for found in new:
             if found is None:
                 continue
@@ -213,7 +263,7 @@ def find_secrets(text: str) -> tuple[list[Span], list[Span], int]:
                 low, high = found.origin(start, end)
                 spans.add((low, kind, high))
             worklist.append(found)
-    return base, sorted(spans), unopened
+    return base, sorted(spans), len(unopened)
 
 
 def span_list(spans: list[Span]) -> str:
