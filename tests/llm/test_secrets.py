@@ -1,7 +1,9 @@
 import base64
+import bz2
 import gzip
 import hashlib
 import json
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -119,6 +121,52 @@ def test_base64_goes_on_over_line_breaks(end, width):
     assert any(ASSIGNED[2:-2] in str(secrets.decoded("A" * i + held)) for i in range(4))
 
 
+ODD = ["\u00a0", "\u200b", "\x1b[0m", "\x0c", "\x00", "caf\u00e9 \u4100 "]
+
+
+def odd_layers():
+    gz = gzip.compress
+    out = {repr(odd): f"{odd} {ASSIGNED} {odd}".encode() for odd in ODD}
+    out |= {
+        "not utf-8": b"\xff\xfe\xfd " + ASSIGNED.encode() + b" \xe9",
+        "utf-16": f"caf\u00e9 {ASSIGNED} x".encode("utf-16"),
+        "utf-16-be": f"caf\u00e9 {ASSIGNED}".encode("utf-16-be"),
+        "odd utf-16": b"x" + f"caf\u00e9 {ASSIGNED} x".encode("utf-16-le"),
+        "members gzip": gz(b"one") + gz(b"two") + gz(ASSIGNED.encode()),
+        "members bz2": bz2.compress(b"one") + bz2.compress(ASSIGNED.encode()),
+        "members xz": lzma.compress(b"one") + bytes(4) + lzma.compress(ASSIGNED.encode()),
+        "members zstd": zstandard.compress(b"one") + zstandard.compress(ASSIGNED.encode()),
+        "after a stream": gz(b"one") + ASSIGNED.encode(),
+        "stream in a stream": gz(b"tar header " + gz(ASSIGNED.encode())),
+        "utf-16 in a stream": gz(f"x {ASSIGNED} x".encode("utf-16-le")),
+    }
+    return out
+
+
+@pytest.mark.parametrize("name", odd_layers())
+def test_odd_characters_and_members_hide_nothing(name):
+    inner = b64(odd_layers()[name])
+    text = f"before {inner} after"
+    assert {k for _, k, _ in secrets.find_secrets(text)[1]} >= {0}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.compress])
+def test_large_streams_are_scanned_in_pieces(pack, monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
+    noise = ", ".join(hashlib.sha256(b"%d" % i).hexdigest()[:20] for i in range(300))
+    for cut in range(900, 1100, 7):
+        for secret in (ASSIGNED, KEY, b64(f"a {KEY}"), "token" + " " * 900 + "= abcdefg"):
+            data = f"{noise[:cut]}, {secret}, {noise}".encode()
+            _, spans, unopened = secrets.find_secrets(f"x {b64(pack(data))} y")
+            assert unopened >= 1 and {k for _, k, _ in spans} & {0, 1}
+
+
+def test_streams_that_need_too_much_memory_are_counted():
+    filters = [{"id": lzma.FILTER_LZMA2, "preset": 0, "dict_size": 1 << 28}]
+    _, _, unopened = secrets.find_secrets(b64(lzma.compress(ASSIGNED.encode(), filters=filters)))
+    assert unopened == 1
+
+
 def test_escapes_map_to_the_character():
     text = "a token%3Dabcd%65fgh b"
     _, spans, _ = secrets.find_secrets(text)

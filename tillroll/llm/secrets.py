@@ -12,14 +12,17 @@ character and on one line, else to the characters that hold the find or the stre
 
 Defined results: a null text counts as empty; a text without finds has an empty list and the digest
 of the empty string; a find that maps to a span already listed is listed once; repeated rows get
-equal results; a stream that unpacks to more than MAX_LAYER bytes is not opened but counted in
-n_unopened; an empty table gives no rows.
+equal results; a stream that unpacks to more than MAX_LAYER bytes is scanned in pieces and counted in
+n_unopened, as a stream or a run of base64 inside it is only read as far as a piece holds it; one
+that needs more than MAX_WINDOW bytes of memory is counted there too, and not scanned; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import binascii
 import bz2
+import contextlib
 import hashlib
 import lzma
 import re
@@ -37,6 +40,8 @@ from tillroll.llm.common import read_table, whole_text
 
 KINDS = ("assign", "access", "hex")
 MAX_LAYER = 1 << 26
+MAX_WINDOW = 1 << 27  # of the decoders of xz and zstd
+FEED = 1 << 10  # bytes given to a decoder at a time, so that what comes out stays small
 
 ASSIGN = re.compile(
     r"(?ai:password|passwd|secret|token|api_?key)"
@@ -61,6 +66,10 @@ MIN_RUN = 16
 MAGIC = re.compile(
     rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd"
 )
+# ASCII in UTF-16 of either order, shorter than any find
+WIDE = re.compile(rb"(?:[\x01-\x7f]\x00){8}|(?:\x00[\x01-\x7f]){8}")
+# what a find, an escape or a run of base64 may be made of, also in UTF-16
+UNFINISHED = bytes({*range(0x21, 0x7F)} - {*b"!$()*,<?@[]^`|~"}) + b"\x00 \t\r\n"
 
 Span = tuple[int, int, int]  # start, place of the kind, end
 
@@ -108,6 +117,8 @@ class Layer:
         if not parts:
             return None
         parts.append(self.text[at:])
+        if isinstance(self.starts, int):
+            return Layer("".join(parts), self.starts, self.ends)
         starts.append(self.bounds(at, len(self.text), 0))
         ends.append(self.bounds(at, len(self.text), 1))
         return Layer("".join(parts), np.concatenate(starts), np.concatenate(ends))
@@ -138,34 +149,114 @@ class TooLarge(Exception):
     pass
 
 
+def _decoder(head: bytes):
+    """A decoder of the compressed stream that starts like this; None if none does."""
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2]) % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(memlimit=MAX_WINDOW)
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor(max_window_size=MAX_WINDOW).decompressobj()
+    return None
+
+
+def pieces(data: bytes) -> Iterator[bytes]:
+    """What the compressed streams at the head of ``data`` hold, one stream after the other, as
+    far as they are undamaged; TooLarge if a decoder needs too much memory."""
+    view, at = memoryview(data), 0
+    while (stream := _decoder(bytes(view[at : at + 6]))) is not None:
+        while not stream.eof and at < len(view):
+            given = bytes(view[at : at + FEED])
+            try:
+                out = stream.decompress(given)
+            except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError) as error:
+                if isinstance(error, lzma.LZMAError) and "emory" in str(error):
+                    raise TooLarge from error
+                return
+            except zstandard.ZstdError as error:
+                if "memory" in str(error):
+                    raise TooLarge from error
+                return
+            at += len(given) - (len(stream.unused_data) if stream.eof else 0)
+            if out:
+                yield out
+        # xz streams may be padded with NULs
+        while isinstance(stream, lzma.LZMADecompressor) and bytes(view[at : at + 4]) == bytes(4):
+            at += 4
+
+
 def inflated(data: bytes) -> bytes | None:
-    """What a compressed stream holds; None if it is none or damaged."""
-    if data[:2] == b"\x1f\x8b":
-        stream = zlib.decompressobj(31)
-    elif data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2]) % 31 == 0:
-        stream = zlib.decompressobj()
-    elif data[:3] == b"BZh":
-        stream = bz2.BZ2Decompressor()
-    elif data[:6] == b"\xfd7zXZ\x00":
-        stream = lzma.LZMADecompressor(memlimit=1 << 27)
-    elif data[:4] == b"\x28\xb5\x2f\xfd":
-        try:
-            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data) as reader:
-                out = reader.read(MAX_LAYER + 1)
-        except zstandard.ZstdError:
-            return None
-        if len(out) > MAX_LAYER:
+    """What compressed streams hold; None if there is none."""
+    parts, size = [], 0
+    for piece in pieces(data):
+        parts.append(piece)
+        size += len(piece)
+        if size > MAX_LAYER:
             raise TooLarge
-        return out
-    else:
-        return None
-    try:
-        out = stream.decompress(data, MAX_LAYER + 1)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError):
-        return None
-    if len(out) > MAX_LAYER:
-        raise TooLarge
-    return out
+    return b"".join(parts) or None
+
+
+def windows(parts: Iterator[bytes]) -> Iterator[bytes]:
+    """Parts of a large stream, put together to about MAX_LAYER bytes; each window starts with
+    what may be unfinished at the end of the one before, blanks squeezed."""
+    held, size = [], 0
+    with contextlib.suppress(TooLarge):
+        for part in parts:
+            held.append(part)
+            size += len(part)
+            if size >= MAX_LAYER:
+                window = b"".join(held)
+                yield window
+                begin = max(len(window.rstrip(UNFINISHED)), len(window) - MAX_LAYER // 2)
+                held = [re.sub(rb"\x20{2,}", b" ", window[begin:])]
+                size = len(held[0])
+    yield b"".join(held)
+
+
+def contents(data: bytes, unopened: list) -> Iterator[tuple[int, str]]:
+    """All texts in ``data`` other than its own bytes, and from which byte on they are held: as
+    UTF-16, and in compressed streams anywhere in it, to any depth."""
+
+    def opened_streams(data: bytes) -> Iterator[tuple[int, bytes]]:
+        for m in MAGIC.finditer(data):
+            stream = memoryview(data)[m.start() :]
+            try:
+                inner = inflated(stream)
+            except TooLarge:
+                unopened.append(m.start())
+                yield from ((m.start(), window) for window in windows(pieces(stream)))
+                continue
+            if inner:
+                yield m.start(), inner
+
+    if WIDE.search(data):
+        yield from ((0, text) for text in wide_texts(data))
+    todo, seen, begin = [opened_streams(data)], set(), 0
+    while todo:
+        at, inner = next(todo[-1], (0, None))
+        if inner is None:
+            todo.pop()
+            continue
+        begin = at if len(todo) == 1 else begin
+        digest = hashlib.sha1(inner).digest()
+        if digest in seen:
+            continue
+        seen.add(digest)
+        yield begin, as_text(inner)
+        if WIDE.search(inner):
+            yield from ((begin, text) for text in wide_texts(inner))
+        todo.append(opened_streams(inner))
+
+
+def wide_texts(data: bytes) -> Iterator[str]:
+    """``data`` read as UTF-16 of both orders, from either byte."""
+    for order in ("utf-16-le", "utf-16-be"):
+        for first in (0, 1):
+            yield data[first:].decode(order, "replace")
 
 
 def decoded(run: str) -> bytes:
@@ -204,65 +295,57 @@ def wrapped_layers(layer: Layer, m: re.Match, unopened: list) -> Iterator[Layer]
     run = BREAK.sub("", m[0]) if breaks else m[0]
     if len(run.rstrip("=")) < MIN_RUN:
         return
-    places = np.arange(len(m[0]))
-    if breaks:
-        places = np.delete(places, np.concatenate([np.arange(*b.span()) for b in breaks]))
-    starts = layer.bounds(m.start(), m.end(), 0)[places]
-    ends = layer.bounds(m.start(), m.end(), 1)[places]
+    inside = layer.starts is not None and isinstance(layer.starts, int)
+    if not inside:
+        places = np.arange(len(m[0]))
+        if breaks:
+            places = np.delete(places, np.concatenate([np.arange(*b.span()) for b in breaks]))
+        starts = layer.bounds(m.start(), m.end(), 0)[places]
+        ends = layer.bounds(m.start(), m.end(), 1)[places]
     for first in range(4):
         data = decoded(run[first:])
-        whole = first == 0 and not breaks
-        if whole:
-            try:
-                inner = unwrapped(run)
-            except TooLarge:
-                unopened.append(m[0])
-            else:
-                if inner is not None:
-                    yield Layer(inner, *layer.origin(m.start(), m.end()))
+        if inside or (first == 0 and not breaks):
+            stretch = layer.origin(m.start(), m.end())
+            yield Layer(as_text(data), *stretch)
         else:
             at = np.arange(len(data))
             yield Layer(as_text(data), starts[first + at * 4 // 3], ends[first + (at * 4 + 3) // 3])
-        for stream in MAGIC.finditer(data, 1 if whole else 0):
-            at = stream.start()
-            try:
-                inner = inflated(data[at:])
-                inner = inner and opened(inner)
-            except TooLarge:
-                unopened.append(m[0])
-                continue
-            if inner:
-                held = slice(first + at * 4 // 3, None)
-                yield Layer(as_text(inner), int(starts[held].min()), int(ends[held].max()))
+            stretch = None
+        for begin, text in contents(data, unopened):
+            held = slice(first + begin * 4 // 3, None)
+            yield Layer(text, *(stretch or (int(starts[held].min()), int(ends[held].max()))))
+
+
+def inner_layers(layer: Layer, unopened: list) -> Iterator[Layer]:
+    """What one step of decoding makes of a layer, one at a time, as they may be large."""
+    if "%" in layer.text and (found := layer.replaced(PERCENT, percent_decoded)):
+        yield found
+    if ("\\" in layer.text or "&#" in layer.text) and (found := layer.replaced(ESCAPE, unescaped)):
+        yield found
+    for m in BASE64.finditer(layer.text):
+        if m.end() - m.start() >= MIN_RUN:
+            yield from wrapped_layers(layer, m, unopened)
 
 
 def find_secrets(text: str) -> tuple[list[Span], list[Span], int]:
     """(finds in the text itself, all finds, streams too large to open)."""
     base = sorted(scan(text))
     spans, unopened = set(base), []
-    worklist, seen = [Layer(text)], set()
+    worklist, seen = [inner_layers(Layer(text), unopened)], set()
     while worklist:
-        layer = worklist.pop()
-        new = []
-        if "%" in layer.text:
-            new.append(layer.replaced(PERCENT, percent_decoded))
-        if "\\" in layer.text or "&#" in layer.text:
-            new.append(layer.replaced(ESCAPE, unescaped))
-        for m in BASE64.finditer(layer.text):
-            if m.end() - m.start() >= MIN_RUN:
-                new += wrapped_layers(layer, m, unopened)
-        for found in new:
-            if found is None:
-                continue
-            stretch = found.origin(0, len(found.text)) if found.text else (0, 0)
-            key = (hashlib.sha1(found.text.encode("utf-8", "surrogatepass")).digest(), stretch)
-            if key in seen:
-                continue
-            seen.add(key)
-            for start, kind, end in scan(found.text):
-                low, high = found.origin(start, end)
-                spans.add((low, kind, high))
-            worklist.append(found)
+        found = next(worklist[-1], None)
+        if found is None:
+            worklist.pop()
+            continue
+        stretch = found.origin(0, len(found.text)) if found.text else (0, 0)
+        key = (hashlib.sha1(found.text.encode("utf-8", "surrogatepass")).digest(), stretch)
+        if key in seen:
+            continue
+        seen.add(key)
+        for start, kind, end in scan(found.text):
+            low, high = found.origin(start, end)
+            spans.add((low, kind, high))
+        worklist.append(inner_layers(found, unopened))
     return base, sorted(spans), len(unopened)
 
 
