@@ -125,6 +125,29 @@ def test_accepted_strings_seed_further_patterns(docs):
     assert all(found[600 + i] == [] for i in range(20))
 
 
+UNSEEN = {
+    "ip": ["10[.]0[.]0[.]1", "10-0-0-1", "10.0.0[.]1", "fe80::1", "2001:db8:0:0:0:ff00:42:8329", "::ffff"],
+    "email": ["name (at) host dot org", "name[at]host.org", "name at host dot org", "me {at} a-b [dot] co [dot] uk"],
+    "phone": ["030/1234567", "555\u00a0010\u00a02299", "(030) 123/45 67"],
+}
+NEVER = {"ip": ["10-0-0-999", "12:30:45", "1:2:3"], "email": ["met at example.org"], "phone": ["1/2/3"]}
+
+
+def test_other_forms_are_found_by_context(docs):
+    seed = {"ip": "10.1.2.{}", "email": "w{}@host.org", "phone": "+1 555 {:03d} 2288"}
+    rows, wanted = [], {}
+    for kind in seed:
+        rows += [(len(rows) + i, f"x{i}y the {kind}s: {seed[kind].format(i)} was seen") for i in range(20)]
+        for value in (*UNSEEN[kind], *NEVER[kind]):
+            wanted[len(rows)] = (kind, value, value in UNSEEN[kind])
+            rows.append((len(rows), f"é the {kind}s: {value} was seen"))
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in contextual.personal_data(docs(rows)).collect()}
+    for i, (kind, value, good) in wanted.items():
+        at = rows[i][1].index(value)
+        span = (at, contextual.KINDS.index(kind), at + len(value))
+        assert found[i] == ([span] if good else []), value
+
+
 def test_redaction(docs):
     texts = [*planted(), (400, "é a@b.cd, +1 555 555 0100 4111-1111-1111-1111 x 1.2.3.4"), (401, None),
              (402, "é a@b.cd, +1 555 555 0100; 4111-1111-1111-1111"), (None, "1.2.3.4 a@b.cc")]

@@ -2,7 +2,8 @@
 
 The fixed (base) kinds are seeds.  The words around them become lexical patterns: "one word
 before", "two words before", and "one word before with one word after".  Identifier-like strings that are no base
-match, such as a number without the plus sign or an address without a dot, are candidates.  Patterns
+match, such as a number without the plus sign, an address without a dot or with its signs written
+out, are candidates.  Patterns
 and the strings they surround form a graph.  In each round a pattern's confidence for a kind is the
 share of strings believed to be of that kind among those that are known to be of some kind, and a
 string's score follows from the patterns around it.  Strings accepted in one round are seeds of
@@ -45,11 +46,24 @@ PATTERNS = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+# An at sign or a dot that is written out, in brackets or (the dot) between blanks.
+_AT = r"(?:\x20?[(\[{]\x20?(?:[aA][tT]|@)\x20?[)\]}]\x20?|\x20[aA][tT]\x20)"
+_DOT = r"(?:\.|\x20?[(\[{]\x20?(?:[dD][oO][tT]|\.)\x20?[)\]}]\x20?|\x20[dD][oO][tT]\x20)"
+# "name (at) host dot org"; one with a bare "at" must spell its dot out too
+WRITTEN_EMAIL = (
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?!\x20[aA][tT]\x20[A-Za-z0-9-]++\.){_AT}"
+    rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++"
+)
+# "10[.]0[.]0[.]1", "10-0-0-1", and runs of hexadecimal groups
+_SEP = r"(?:\x20?[(\[{](?:\.|[dD][oO][tT])[)\]}]\x20?|[-_.]|\x20[dD][oO][tT]\x20)"
+WRITTEN_IP = rf"(?<![0-9A-Za-z.+-])[0-9]{{1,3}}+(?:{_SEP}[0-9]{{1,3}}+){{3}}(?![0-9]|[-_.][0-9])"
+IPV6 = r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}+|(?=::))(?::[0-9A-Fa-f]{0,4}+){2,8}+(?![0-9A-Za-z:])"
 # Identifier-like strings that may turn out to be of a kind: words around an at sign, runs of
-# digits with separators.
+# digits with separators, and what is written in one of the forms above.
 CANDIDATE = (
     r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D@]++(?:@[^\x20\x09-\x0D]++)"
-    r"|(?<![0-9A-Za-z.+-])\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+"
+    rf"|{WRITTEN_EMAIL}|{WRITTEN_IP}|{IPV6}"
+    r"|(?<![0-9A-Za-z.+-])\(?[0-9](?:[\x20\xA0\u2007\u2009\u202F/().-]{0,2}[0-9]){6,}+"
 )
 CONTEXT_CHARS = 64
 MIN_SEEDS = 3  # different seeds a pattern must surround
@@ -149,6 +163,7 @@ def found_spans(
         text.alias("t"),
         text.contains("@").alias("has_at"),
         text.rlike("[0-9][^A-Za-z]*[0-9]").alias("has_digits"),
+        text.rlike(r"[(\[{]\x20?[aA][tT]\x20?[)\]}]|\x20[dD][oO][tT]\x20|::").alias("has_written"),
     )
     hints = {
         "email": F.col("has_at"),
@@ -163,7 +178,7 @@ def found_spans(
         return F.when(hints[kind], good).otherwise(none).alias(kind)
 
     candidates = F.when(
-        F.col("has_at") | F.col("has_digits"), matches(F.col("t"), CANDIDATE)
+        F.col("has_at") | F.col("has_digits") | F.col("has_written"), matches(F.col("t"), CANDIDATE)
     ).otherwise(none)
     return rows.select(
         "doc_id", "text_hash", *[of(kind) for kind in KINDS], candidates.alias("candidates")
@@ -217,11 +232,23 @@ def _context(column: str, which: str) -> Column:
 def _fits(kind: Column, value: Column) -> Column:
     """Whether a candidate has a form that suits a kind."""
     n = F.length(_digits(value))
+    numeric = value.rlike(r"^[^A-Za-z@:]+$")
+    groups = F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0))
+    ipv4 = value.rlike(f"^{WRITTEN_IP}$") & F.forall(groups, lambda g: g.cast("int") < 256)
+    # eight groups, or fewer with one run of colons that stands for the rest
+    colons = F.length(value) - F.length(F.translate(value, ":", ""))
+    ipv6 = (
+        value.rlike(f"^{IPV6}$")
+        & value.rlike("[0-9A-Fa-f]")
+        & F.when(value.contains("::"), ~value.rlike(":::|::.*::|[^:]:$")).otherwise(
+            (colons == 7) & ~value.endswith(":")
+        )
+    )
     return (
-        F.when(kind == "email", value.contains("@"))
-        .when(kind == "ip", value.rlike(r"^[0-9]+(\.[0-9]+){3,}$"))
-        .when(kind == "card", ~value.contains("@") & n.between(12, 19))
-        .otherwise(~value.contains("@") & n.between(7, 15))
+        F.when(kind == "email", value.contains("@") | value.rlike(f"^{WRITTEN_EMAIL}$"))
+        .when(kind == "ip", ipv4 | ipv6 | value.rlike(r"^[0-9]+(\.[0-9]+){3,}$"))
+        .when(kind == "card", numeric & n.between(12, 19))
+        .otherwise(numeric & n.between(7, 15))
     )
 
 
