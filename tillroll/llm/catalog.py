@@ -17,6 +17,7 @@ from tillroll.llm import (
     rulelist,
     secrets,
     simhash,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,7 @@ def queries() -> dict[str, Query]:
         secrets.op8_secret_worklist,
         lengths.op9_length_histogram,
         multiindex.op10_multi_index_search,
+        whitening.op11_jacobi_davidson,
     ]
     return {query.__name__: query for query in found}
 
