@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm import (
+    alignment,
     archives,
     contextual,
     hilbert,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Query]:
         lengths.op9_length_histogram,
         multiindex.op10_multi_index_search,
         whitening.op11_jacobi_davidson,
+        alignment.op12_shared_cuts,
     ]
     return {query.__name__: query for query in found}
 
