@@ -13,6 +13,7 @@ from tillroll.llm import (
     hilbert,
     lengths,
     multiindex,
+    oddsketch,
     packing,
     pareto,
     rulelist,
@@ -39,6 +40,7 @@ def queries() -> dict[str, Query]:
         multiindex.op10_multi_index_search,
         whitening.op11_jacobi_davidson,
         alignment.op12_shared_cuts,
+        oddsketch.op13_odd_sketches,
     ]
     return {query.__name__: query for query in found}
 

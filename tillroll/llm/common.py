@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +89,14 @@ def numbered(df: DataFrame, keys: list[str], label: str) -> DataFrame:
         .withColumn("total", F.lit(total).cast("long"))
         .drop("part", "range_slot", "range_start")
     )
+
+
+def portions(texts: list[str | None], characters: int = 8_000_000) -> Iterator[slice]:
+    """Runs of texts of a bounded size together, or of a single longer one."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        held += len(text or "")
+        if held > characters and i > start:
+            yield slice(start, i)
+            start, held = i, len(text or "")
+    yield slice(start, len(texts))
