@@ -124,10 +124,10 @@ def test_random_texts(tools, monkeypatch):
     monkeypatch.setattr(alignment, "LINKS_AT_ONCE", 50)
     random.seed(5)
     alphabet = ["the", "of", "un", "x", "Zq", "é", "中", "7", "'s", ".", "\n", "\t", " ", " ", " ", " ", "  ",
-                " ", "▁", "<s>", "\U0001f600", "--", "\x00", "ing", "tion", "<0x0A>"]
+                " ", "▁", "<s>", "\U0001f600", "--", "\x00", ", ", ".'", "É", "×", "ing", "tion", "<0x0A>"]
     texts = ["".join(random.choices(alphabet, k=random.randrange(40))) for _ in range(3000)]
     first, second = alignment.byte_level(A_PATH), alignment.pieces(B_PATH)
-    got = alignment.Aligned.of(texts, first, second)
+    got = alignment.Aligned.of(texts, alignment.Encoders(first, second))
     groups, (links, _) = got.group_bounds(), got.link_numbers()
     codes, numbers, bounds = got.pairs(len(second.spelled), len(first.spelled))
     for k, text in enumerate(texts):

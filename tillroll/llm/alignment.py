@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -34,20 +35,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import read_table
+from tillroll.llm.common import portions, read_table
 from tillroll.session import materialise
 
 # Pairs with more than this part of all (document, pair) rows are broadcast: at most so many.
 FREQUENT = 100_000
-CACHED_WORDS = 300_000
-CACHED_LENGTH = 40
+CACHED_WORDS = 500_000
+CACHED_CHARACTERS = 20_000_000
 LINKS_AT_ONCE = 4_000_000
-TEXT_AT_ONCE = 8_000_000
 # Where one of these stands, neighbouring words are not encoded by themselves: both tokenizers
 # treat runs of blanks as a whole, and the second spells a space as U+2581.
 TOUCHING = re.compile(r"^ | $|\s \s|  |▁")
 
 
+# A word of plain letters with marks behind it; the byte-level encoding cuts between the two.
+SIMPLE_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
 def _byte_of_letter() -> dict[str, int]:
     """Byte-level vocabularies write printable bytes as themselves and number the rest from 256."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -55,66 +59,47 @@ def _byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class _Encoder:
-    """Ids of a text; those of single words between single spaces are kept, as both tokenizers
-    never look across such a space."""
-
-    spelled: list[bytes]  # the bytes of every id
-
-    def __init__(self):
-        self.words: dict[str, bytes | None] = {}
-
-    def whole(self, text: str) -> list[int]:
-        raise NotImplementedError
-
-    def _word(self, word: str) -> bytes | None:
-        ids = self.whole(word)
-        fits = b"".join(map(self.spelled.__getitem__, ids)) == b" " + word.encode()
-        found = np.array(ids, "<u4").tobytes() if fits else None
-        if len(word) <= CACHED_LENGTH:
-            if len(self.words) >= CACHED_WORDS:
-                self.words.clear()
-            self.words[word] = found
-        return found
-
-    def ids(self, text: str, words: list[str] | None) -> bytes | None:
-        """Little-endian ids of a space and the text, None if they do not spell that."""
-        if words is not None:
-            kept, parts = self.words, []
-            for word in words:
-                part = kept.get(word, 0)
-                parts.append(self._word(word) if part == 0 else part)
-            if None not in parts:
-                return b"".join(parts)
-        ids = self.whole(text)
-        if b"".join(map(self.spelled.__getitem__, ids)) != b" " + text.encode():
-            return None
-        return np.array(ids, "<u4").tobytes()
-
-
-class ByteLevel(_Encoder):
+class ByteLevel:
+    """A byte-level encoding; ``spelled`` has the bytes of every id."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         letters = _byte_of_letter()
         vocabulary = self.tokenizer.get_vocab()
         self.spelled = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
             self.spelled[number] = bytes(letters[c] for c in token)
+        self.letter = {byte: letter for letter, byte in letters.items()}
+
+    def _part(self, part: str) -> list[int]:
+        """Ids of what the encoding never cuts before it merges."""
+        written = part.encode().decode("latin-1").translate(self.letter)
+        return [token.id for token in self.model.tokenize(written)]
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text with a space before it."""
+        out = []
+        for text in texts:
+            simple = SIMPLE_WORD.fullmatch(text)
+            if simple is None:
+                out.append(self.tokenizer.encode(" " + text, add_special_tokens=False).ids)
+            else:
+                marks = simple.group(2)
+                out.append(self._part(" " + simple.group(1)) + (self._part(marks) if marks else []))
+        return out
 
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(" " + text, add_special_tokens=False).ids
 
+class Pieces:
+    """A sentencepiece model; ``spelled`` has the bytes of every id."""
 
-class Pieces(_Encoder):
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
-        super().__init__()
         self.model = SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.spelled = [
@@ -124,8 +109,73 @@ class Pieces(_Encoder):
             for i, piece in enumerate(pieces)
         ]
 
-    def whole(self, text: str) -> list[int]:
-        return self.model.encode(text, num_threads=1)
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text; the model puts a space before it, but for an empty one."""
+        return self.model.encode(texts, num_threads=1)
+
+
+class Encoders:
+    """Both encodings of many texts at once.
+
+    Neither looks across a single space between two words, so a text is cut into words there,
+    unless blanks touch in it, and each different word is encoded once and kept for a while.
+    """
+
+    def __init__(self, first: ByteLevel, second: Pieces):
+        self.both = (first, second)
+        self.lengths = [np.array([len(t) for t in e.spelled], np.int64) for e in self.both]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.characters = 0
+        self.fits = np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.int64)] * 2
+        self.ends = [np.zeros(1, np.int64)] * 2
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        if len(self.number) > CACHED_WORDS or self.characters > CACHED_CHARACTERS:
+            self._forget()
+        fresh = [word for word in dict.fromkeys(words) if word not in self.number]
+        if fresh:
+            self.number.update(zip(fresh, range(len(self.number), len(self.number) + len(fresh))))
+            self.characters += sum(map(len, fresh))
+            found = [encoder.ids(fresh) for encoder in self.both]
+            spelled = (
+                [b"".join(map(e.spelled.__getitem__, ids)) for ids in of]
+                for e, of in zip(self.both, found, strict=True)
+            )
+            fits = [
+                a == b == b" " + word.encode() for word, a, b in zip(fresh, *spelled, strict=True)
+            ]
+            self.fits = np.concatenate([self.fits, np.array(fits, bool)])
+            for k, of in enumerate(found):
+                sizes = np.fromiter(map(len, of), np.int64, len(of))
+                flat = np.fromiter(itertools.chain.from_iterable(of), np.int64, int(sizes.sum()))
+                self.ids[k] = np.concatenate([self.ids[k], flat])
+                self.ends[k] = np.concatenate([self.ends[k], self.ends[k][-1] + np.cumsum(sizes)])
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each encoding the ids of all texts end to end, and where each text begins and ends;
+        none for a text that is empty or not spelled back."""
+        words, bounds = [], [0]
+        for text in texts:
+            if text:
+                words += [text] if TOUCHING.search(text) else text.split(" ")
+            bounds.append(len(words))
+        bounds = np.array(bounds)
+        taken = self._numbers(words)
+        misfits = np.concatenate([[0], np.cumsum(~self.fits[taken])])
+        spelled = np.repeat(np.diff(misfits[bounds]) == 0, np.diff(bounds))
+        out = []
+        for ids, ends in zip(self.ids, self.ends, strict=True):
+            starts = ends[taken]
+            sizes = np.where(spelled, ends[taken + 1] - starts, 0)
+            before = np.concatenate([[0], np.cumsum(sizes)])
+            places = np.arange(before[-1]) + np.repeat(starts - before[:-1], sizes)
+            out.append((ids[places], before[bounds]))
+        return out
 
 
 @functools.cache
@@ -138,6 +188,12 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+@functools.cache
+def encoders(a_path: str, b_path: str) -> Encoders:
+    """One for each Python worker."""
+    return Encoders(byte_level(a_path), pieces(b_path))
+
+
 @functools.cache
 def _spellings(a_size: int, b_size: int) -> list[bytes]:
     """Decimal ids behind a comma and behind a semicolon (A), behind a comma and behind a bar (B)."""
@@ -216,24 +272,9 @@ class Aligned:
     b_cuts: np.ndarray
 
     @classmethod
-    def of(cls, texts: list[str | None], first: ByteLevel, second: Pieces) -> Aligned:
-        a_parts, b_parts = [], []
-        for text in texts:
-            a = b = None
-            if text:
-                words = None if TOUCHING.search(text) else text.split(" ")
-                a = first.ids(text, words)
-                b = second.ids(text, words) if a is not None else None
-            a_parts.append(a if b is not None else b"")
-            b_parts.append(b or b"")
-        a, b = (np.frombuffer(b"".join(parts), "<u4").astype(np.int64) for parts in (a_parts, b_parts))
-        a_bounds, b_bounds = (
-            np.cumsum([0] + [len(part) // 4 for part in parts]) for parts in (a_parts, b_parts)
-        )
-        a_ends, b_ends = (
-            np.cumsum(np.array([len(t) for t in encoder.spelled], np.int64)[ids])
-            for encoder, ids in ((first, a), (second, b))
-        )
+    def of(cls, texts: list[str | None], both: Encoders) -> Aligned:
+        (a, a_bounds), (b, b_bounds) = both.encode(texts)
+        a_ends, b_ends = (np.cumsum(l[ids]) for l, ids in zip(both.lengths, (a, b), strict=True))
         return cls(a, b, a_bounds, b_bounds, *shared_cuts(a_ends, b_ends, a_bounds, b_bounds))
 
     def group_bounds(self) -> np.ndarray:
@@ -298,23 +339,12 @@ class Aligned:
         return codes % size, numbers, bounds
 
 
-def _portions(texts: list[str | None]) -> Iterator[slice]:
-    """Runs of texts of a bounded size together, or of one."""
-    start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
-        if held > TEXT_AT_ONCE and i > start:
-            yield slice(start, i)
-            start, held = i, len(text or "")
-    yield slice(start, len(texts))
-
-
 def _lists(values: np.ndarray, bounds: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, kind))
 
 
 def _texts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
-    for run in _portions(batch.column(text).to_pylist()):
+    for run in portions(batch.column(text).to_pylist()):
         part = batch.slice(run.start, run.stop - run.start)
         yield part, part.column(text).to_pylist()
 
@@ -324,10 +354,10 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, text: str = "text") ->
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = byte_level(a_path), pieces(b_path)
+        both = encoders(a_path, b_path)
         for batch in batches:
             for part, texts in _texts(batch, "text"):
-                found = Aligned.of(texts, first, second)
+                found = Aligned.of(texts, both)
                 groups = found.group_bounds()
                 owner = np.repeat(np.arange(len(texts)), np.diff(groups))
                 columns = [
@@ -360,10 +390,10 @@ class Links:
         a_size, b_size = len(byte_level(a_path).spelled), len(pieces(b_path).spelled)
 
         def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            first, second = byte_level(a_path), pieces(b_path)
+            both = encoders(a_path, b_path)
             for batch in batches:
                 for part, texts in _texts(batch, "text"):
-                    found = Aligned.of(texts, first, second)
+                    found = Aligned.of(texts, both)
                     codes, numbers, bounds = found.pairs(b_size, a_size)
                     counted = (
                         np.diff(found.a_bounds),
