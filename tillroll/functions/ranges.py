@@ -134,3 +134,59 @@ def running_totals(
             .alias(total_as),
         )
     )
+
+
+def carried_last(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    values: dict[str, str],
+    with_current: bool = True,
+) -> DataFrame:
+    """The last value that is not null in the rows of a group up to each row, following ``order``.
+
+    ``values`` maps column names to the names of the results; without ``with_current`` the row
+    itself does not count.  Rows that are equal in ``order`` come in an unspecified order.  The
+    rows are cut into even ranges, whatever the groups' sizes.  Only the first group of a range can
+    have rows in earlier ones, so what is carried over is at most one row for each range.
+    """
+    ranged = materialise(
+        df.repartitionByRange(*group, *order).withColumn("part", F.spark_partition_id()),
+        "carried-last",
+    )
+    in_range = Window.partitionBy(*group, "part").orderBy(*order)
+    up_to = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow - (not with_current))
+    position = F.struct(*order)
+    ends = ranged.groupBy(*group, "part").agg(
+        *[
+            F.max_by(column, F.when(F.col(column).isNotNull(), position)).alias(column)
+            for column in values
+        ]
+    )
+    before = (
+        Window.partitionBy(*group)
+        .orderBy("part")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow - 1)
+    )
+    carried = ends.select(
+        *[F.col(name).alias(f"g{i}") for i, name in enumerate([*group, "part"])],
+        F.row_number().over(Window.partitionBy(*group).orderBy("part")).alias("nth"),
+        *[F.last(column, ignorenulls=True).over(before).alias(f"c_{column}") for column in values],
+    ).filter("nth > 1")
+    same = F.lit(True)
+    for i, name in enumerate([*group, "part"]):
+        same &= F.col(name).eqNullSafe(F.col(f"g{i}"))
+    local = {
+        f"l_{column}": F.last(column, ignorenulls=True).over(up_to) for column in values
+    }
+    return (
+        ranged.withColumns(local)
+        .join(F.broadcast(carried), same, "left")
+        .select(
+            *df.columns,
+            *[
+                F.coalesce(f"l_{column}", f"c_{column}").alias(result)
+                for column, result in values.items()
+            ],
+        )
+    )

@@ -20,8 +20,9 @@ from tillroll.operators import (
     revenue,
     rfm,
 )
+from tillroll.plans import timed
 from tillroll.plans.load import load_star
-from tillroll.session import materialise, scratch_path, tune
+from tillroll.session import materialise, on_clear, scratch_path, tune
 from tillroll.sources import files
 from tillroll.sources.schemas import TABLES, Star
 from tillroll.sources.wholesale import AS_OF, CASH_SEGMENT, Wholesale
@@ -67,7 +68,7 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {name: bound(build) for name, build in _REGISTRY.items()}
+    return {name: bound(build) for name, build in (_REGISTRY | timed.BUILDERS).items()}
 
 
 # Tables that several queries read, stored once for each application and folder; the folder's
@@ -82,6 +83,7 @@ def _stored(w: Wholesale, name: str, build: Callable[[Wholesale], DataFrame]) ->
     return _STORED[key]
 
 
+@on_clear
 def forget_stored() -> None:
     """Build stored tables anew when they are next needed, as after their folder was cleared."""
     _STORED.clear()

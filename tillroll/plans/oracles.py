@@ -7,32 +7,13 @@ decimal, and both are turned into doubles at the very end.
 from __future__ import annotations
 
 from tillroll.operators.facts import FACT_COLUMNS, SAMPLE_COLUMNS
+from tillroll.plans import timed
+from tillroll.plans.sql import ALIASES
+from tillroll.plans.sql import day as _day
+from tillroll.plans.sql import pct as _pct
+from tillroll.plans.sql import with_star as _with
 from tillroll.sources.schemas import TABLES
-from tillroll.sources.wholesale import ADAPTER_SQL, AS_OF, CASH_SEGMENT
-
-_ALIASES = {
-    "customers": "star_customers",
-    "products": "star_products",
-    "orders": "star_orders",
-    "order_items": "star_items",
-    "payments": "star_payments",
-}
-
-
-def _with(body: str, *more: str) -> str:
-    """Prefix ``body`` with the star tables it names and further table expressions."""
-    text = " ".join((*more, body))
-    parts = [ADAPTER_SQL[table] for table, alias in _ALIASES.items() if alias in text]
-    return "WITH " + ",".join([*parts, *more]) + "\n" + body
-
-
-def _pct(part: str, whole: str) -> str:
-    return f"CAST((20000 * ({part}) + ({whole})) // (2 * ({whole})) AS DOUBLE) / 100.0"
-
-
-def _day(column: str) -> str:
-    return f"strftime({column}, '%Y-%m-%d') AS {column}"
-
+from tillroll.sources.wholesale import AS_OF, CASH_SEGMENT
 
 _PAID = """paid AS (
     SELECT o.*, p.grand_total
@@ -127,7 +108,7 @@ def _profile() -> str:
             rows.append(
                 f"SELECT '{table}' AS table_name, CAST({position} AS BIGINT) AS position, "
                 f"'{column}' AS column_name, '{kind.simpleString()}' AS column_type, "
-                f"count({column}) AS filled_rows FROM {_ALIASES[table]}"
+                f"count({column}) AS filled_rows FROM {ALIASES[table]}"
             )
     return "\nUNION ALL ".join(rows)
 
@@ -137,7 +118,7 @@ def _repeated(table: str, columns: tuple[str, ...]) -> str:
     return (
         f"SELECT '{table}' AS table_name, '{','.join(columns)}' AS key_columns, "
         f"{value} AS key_value, count(*) AS row_count "
-        f"FROM {_ALIASES[table]} GROUP BY {', '.join(columns)} HAVING count(*) > 1"
+        f"FROM {ALIASES[table]} GROUP BY {', '.join(columns)} HAVING count(*) > 1"
     )
 
 
@@ -145,9 +126,9 @@ def _missing(table: str, column: str, parent: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
         f"'{parent}' AS parent_table, CAST(c.{column} AS VARCHAR) AS missing_key, "
-        f"count(*) AS row_count FROM {_ALIASES[table]} c "
+        f"count(*) AS row_count FROM {ALIASES[table]} c "
         f"WHERE c.{column} IS NOT NULL AND NOT EXISTS "
-        f"(SELECT 1 FROM {_ALIASES[parent]} p WHERE p.{column} = c.{column}) "
+        f"(SELECT 1 FROM {ALIASES[parent]} p WHERE p.{column} = c.{column}) "
         f"GROUP BY c.{column}"
     )
 
@@ -155,7 +136,7 @@ def _missing(table: str, column: str, parent: str) -> str:
 def _null_rows() -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
-        f"count(*) - count({column}) AS null_count FROM {_ALIASES[table]}"
+        f"count(*) - count({column}) AS null_count FROM {ALIASES[table]}"
         for table, spec in TABLES.items()
         for column in spec.not_null
     )
@@ -169,7 +150,7 @@ def _defaults() -> str:
                 f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
                 f"coalesce({column}, {str(default).upper()}) AS flag_value, "
                 f"count(*) AS row_count, count(*) - count({column}) AS defaulted_rows "
-                f"FROM {_ALIASES[table]} GROUP BY 3"
+                f"FROM {ALIASES[table]} GROUP BY 3"
             )
     return "\nUNION ALL ".join(parts)
 
@@ -273,7 +254,7 @@ def oracle_sql() -> dict[str, str]:
     sql["row_counts"] = _with(
         "\nUNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {alias}"
-            for t, alias in _ALIASES.items()
+            for t, alias in ALIASES.items()
         )
     )
 
@@ -306,7 +287,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{t}' AS table_name, count(*) AS row_count, "
             + ("count(*) FILTER (order_id % 97 = 0)" if t == "orders" else "0::BIGINT")
             + f" AS rejected_lines FROM {alias}"
-            for t, alias in _ALIASES.items()
+            for t, alias in ALIASES.items()
         )
     )
     sql["q02_null_audit"] = _with(
@@ -596,4 +577,4 @@ def oracle_sql() -> dict[str, str]:
               AND channel = '1-URGENT' AND category = 'ECONOMY'""",
         _FACT,
     )
-    return sql
+    return sql | timed.SQL

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,16 @@ RUNTIME_SETTINGS = {
 }
 
 
+# What else to do when intermediate tables are deleted.
+_ON_CLEAR: list[Callable[[], None]] = []
+
+
+def on_clear(forget: Callable[[], None]) -> Callable[[], None]:
+    """Have ``forget`` called whenever the intermediate tables are deleted."""
+    _ON_CLEAR.append(forget)
+    return forget
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply those runtime settings that the session does not set itself."""
     given = spark.conf.getAll
@@ -73,15 +84,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system that holds a path, and the path as it takes it."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(context._jsc.hadoopConfiguration()), where
+
+
+def has_path(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name."""
+    system, where = _file_system(spark, path)
+    return system.exists(where)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all it holds."""
+    system, where = _file_system(spark, path)
+    system.delete(where, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application.
 
     Results that were not written or collected yet still read them, so call this once a result is
     out, or at the end.
     """
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    drop_path(spark, scratch_dir(spark))
+    for forget in _ON_CLEAR:
+        forget()
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
