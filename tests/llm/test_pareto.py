@@ -88,3 +88,38 @@ def test_resampled_rows_equal_the_copies(docs):
     for r in out.collect():
         found[r.doc_id] += 1
     assert out.columns == table.columns and found == {i: n for i, n in expected.items() if n}
+
+
+def test_repeated_rows_meet_the_targets(docs):
+    """Groups of equal rows: any number of them may be taken, and exactly one is turned."""
+    given, i = [], 0
+    for source in range(40):
+        for _ in range(30):
+            given.append((i, f"d{i} " * (100 + 37 * i % 100), f"s{source:02}"))
+            i += 1
+        given += [(i, "same " * 40, f"s{source:02}")] * (2, 50, 7, 500)[source % 4]
+        i += 1
+    given += [(None, f"no id {k}", "s00") for k in range(30)]
+    table = docs(given)
+    rows = pareto.mixed(table).collect()
+    assert len(rows) == len(given)
+    for taken, target in check(rows, lambda r: r.source).values():
+        assert abs(taken - target) <= 100  # half of the largest document
+    again = pareto.mixed(table.repartition(9)).collect()
+    counted = [sorted((str(r.doc_id), r.text_hash, r.copies) for r in run) for run in (rows, again)]
+    assert counted[0] == counted[1]
+
+
+def test_one_id_for_a_third_of_the_rows_is_spread(spark, docs):
+    given = [(7, f"w{i % 5} " * 9, "a") for i in range(3000)] + [(i + 10, "x " * 9, "a") for i in range(6000)]
+    table = docs(given)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mix, repeated = pareto._mixed(table)
+        assert repeated.count() == 1 and mix.filter("doc_id = 7").select("nth").distinct().count() == 3000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for taken, target in check(mix.collect(), lambda r: r.source).values():
+        assert abs(taken - target) <= 9
+    out = pareto.resampled(table)
+    assert out.count() == sum(r.copies for r in mix.select("copies").collect())

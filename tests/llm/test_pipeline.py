@@ -95,7 +95,7 @@ def test_run_equals_the_stages(spark, steps):
     assert sorted(x[:5] for x in found) == sorted(tuple(r)[:5] for r in steps[5])
 
 
-ODD_COLUMNS = ("kept", "size", "spans", "copies", "root", "text_hash", "start", "rule", "weight", "ids")
+ODD_COLUMNS = ("__hash", "__id", "__row", "__copy", "__number", "own_hash", "of_id", "kept", "size", "spans", "copies", "root", "text_hash", "start", "rule", "weight", "ids")
 
 
 @pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)

@@ -44,6 +44,17 @@ def text_hash(column: str = "text") -> Column:
     return F.xxhash64(F.col(column))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened as far as needed to differ from every column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def hash_sample(df: DataFrame, by: list[str], rows: int) -> list[Row]:
     """The ``rows`` rows with the smallest hash of the columns ``by``, or all if there are fewer.
 

@@ -28,7 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import read_table, text_hash, whole_text
+from tillroll.llm.common import free_names, read_table, text_hash, whole_text
 from tillroll.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -405,16 +405,20 @@ def span_list(spans: Column) -> Column:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with each stretch of personal data replaced by the name of its first span's kind,
     and n_chars following the text."""
+    own, of_id, of_hash, found = free_names(docs, "own_hash", "of_id", "of_hash", "found_spans")
     spans = (
         personal_data(docs)
         .filter(F.size("spans") > 0)
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__other"), "spans")
-        .dropDuplicates(["__id", "__other"])
-        .withColumnRenamed("spans", "__spans")
+        .select(
+            F.col("doc_id").alias(of_id),
+            F.col("text_hash").alias(of_hash),
+            F.col("spans").alias(found),
+        )
+        .dropDuplicates([of_id, of_hash])
     )
     tags = F.array(*[F.lit(f"[{kind.upper()}]") for kind in KINDS])
     text = F.col("text")
-    reached = _running(F.transform("__spans", lambda s: s.end), lambda a, b: F.greatest(a, b))
+    reached = _running(F.transform(found, lambda s: s.end), lambda a, b: F.greatest(a, b))
 
     def rebuilt(ends: Column) -> Column:
         def piece(s: Column, i: Column) -> Column:
@@ -422,17 +426,17 @@ def redacted(docs: DataFrame) -> DataFrame:
             kept = F.substring(text, done + 1, s.start - done)
             return F.when(s.start >= done, F.concat(kept, F.get(tags, s["rank"]))).otherwise("")
 
-        pieces = F.array_join(F.transform("__spans", piece), "")
+        pieces = F.array_join(F.transform(found, piece), "")
         return F.concat(pieces, F.substring(text, F.element_at(ends, -1) + 1, F.length(text)))
 
-    new_text = F.when(F.col("__spans").isNull(), text).otherwise(_let(reached, rebuilt))
-    hashed = docs.withColumn("__hash", text_hash())
-    same = hashed.doc_id.eqNullSafe(spans["__id"]) & (hashed["__hash"] == spans["__other"])
+    new_text = F.when(F.col(found).isNull(), text).otherwise(_let(reached, rebuilt))
+    hashed = docs.withColumn(own, text_hash())
+    same = hashed.doc_id.eqNullSafe(spans[of_id]) & (hashed[own] == spans[of_hash])
     changed = hashed.join(spans, same, "left").withColumn("text", new_text)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         changed = changed.withColumn(
-            "n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(length)
+            "n_chars", F.when(F.col(found).isNull(), F.col("n_chars")).otherwise(length)
         )
     return changed.select(*docs.columns)
 

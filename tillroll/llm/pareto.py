@@ -14,8 +14,9 @@ sorted.
 
 Defined results: a null text has no words; a null source is a source of its own, last in order; a
 source without words has target 0; an empty document takes 0 words whatever its copies; equal
-rows share a rank and are told apart at random, their counts adding up the same; an empty table
-gives no rows.  Reruns agree: the uniform numbers are digests of the id.
+rows are counted through and ranked each for itself, so any of them may be taken and any not; an
+empty table gives no rows.  Reruns agree, equal rows standing for each other: the uniform numbers
+are digests of the id, and of a row's number among those that share it.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import read_table, text_hash, whole_text
+from tillroll.llm.common import numbered, read_table, text_hash, whole_text
 from tillroll.session import materialise
 
 WEIGHTS = (3, 1, 2)
@@ -79,13 +80,42 @@ def source_targets(
     )
 
 
-def _uniform(id_column: str, salt: str) -> Column:
-    """A number above 0 and below 1, from the digest of the id."""
-    named = F.concat(F.lit(f"{salt}:"), F.coalesce(F.col(id_column).cast("string"), F.lit("null")))
+def _uniform(id_column: str, nth: str, salt: str) -> Column:
+    """A number above 0 and below 1, from the digest of the id, and of a repeated id's number."""
+    named = F.concat(
+        F.lit(f"{salt}:"),
+        F.coalesce(F.col(id_column).cast("string"), F.lit("null")),
+        F.when(F.col(nth) > 0, F.concat(F.lit(":"), nth)).otherwise(""),
+    )
     digits = F.conv(F.substring(F.md5(named.cast("binary")), 1, KEY_BITS // 4), 16, 10)
     return (digits.cast("long") + 0.5) / F.lit(float(2**KEY_BITS))
 
 
+def _numbered_ids(rows: DataFrame, repeated: DataFrame | None) -> DataFrame:
+    """``rows`` (id, hash, src and more) with ``nth``, counting from 0 the rows that share an id, in
+    order of hash and source.  Only those of ``repeated`` ids are sorted, in even ranges however
+    often an id comes."""
+    first = F.lit(0).cast("long").alias("nth")
+    if repeated is None:
+        return rows.select("*", first)
+    same = rows["id"].eqNullSafe(repeated["again"])
+    many = rows.join(repeated, same, "left_semi").withColumn("salt", F.rand())
+    placed = numbered(many, ["id", "hash", "src", "salt"], "repeated-ids").drop("salt", "total")
+    starts = placed.groupBy(F.col("id").alias("of_id")).agg(F.min("position").alias("start"))
+    placed = placed.join(starts, F.col("id").eqNullSafe(F.col("of_id")))
+    placed = placed.withColumn("nth", F.col("position") - F.col("start"))
+    return rows.join(repeated, same, "left_anti").select("*", first).unionByName(
+        placed.drop("of_id", "start", "position")
+    )
+
+
+def _repeated(ids: DataFrame) -> DataFrame | None:
+    """The values of ``id`` that more than one row has (as ``again``), None if there are none."""
+    counted = ids.groupBy(F.col("id").alias("again")).agg(F.count("*").alias("n"))
+    again = materialise(counted.filter("n > 1").select("again"), "repeated")
+    return None if again.isEmpty() else again
+
+
 def mixed(
     docs: DataFrame,
     weights: Sequence[int] = WEIGHTS,
@@ -98,15 +128,37 @@ def mixed(
     Documents weigh as many units as the binary length of their size, so that long documents are
     somewhat likelier to be taken, in proportion to the logarithm of their length.
     """
-    rows = materialise(
+    return _mixed(docs, weights, share_percent, max_copies, salt)[0].drop("nth")
+
+
+def _mixed(
+    docs: DataFrame,
+    weights: Sequence[int] = WEIGHTS,
+    share_percent: int = SHARE_PERCENT,
+    max_copies: int = MAX_COPIES,
+    salt: str = SALT,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The mix with the number ``nth`` of each row among those of its id, and the repeated ids."""
+    sizes = materialise(
         docs.select(
-            "doc_id",
-            text_hash().alias("text_hash"),
-            F.col("source").cast("string").alias("source"),
+            F.col("doc_id").alias("id"),
+            text_hash().alias("hash"),
+            F.col("source").cast("string").alias("src"),
             F.regexp_count(whole_text(), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long").alias("size"),
-        ).withColumn("weight", F.length(F.bin("size"))),
+        ),
         "sizes",
     )
+    repeated = _repeated(sizes)
+    rows = _numbered_ids(sizes, repeated).select(
+        F.col("id").alias("doc_id"),
+        F.col("hash").alias("text_hash"),
+        F.col("src").alias("source"),
+        "size",
+        F.length(F.bin("size")).alias("weight"),
+        "nth",
+    )
+    if repeated is not None:
+        rows = materialise(rows, "numbered-rows")
     # expected copies for each weight of each source: at most 64 rows per source
     classes = rows.groupBy("source", "weight").agg(F.sum("size").alias("class_size"))
     targets = source_targets(
@@ -155,11 +207,12 @@ def mixed(
             {
                 "certain": F.coalesce(F.floor("expected"), F.lit(0)).cast("int"),
                 "p": F.coalesce(F.col("expected") - F.floor("expected"), F.lit(0.0)),
-                "u": _uniform("doc_id", salt),
+                "u": _uniform("doc_id", "nth", salt),
             }
         )
         .select(
             "doc_id",
+            "nth",
             "text_hash",
             "source",
             "size",
@@ -173,7 +226,7 @@ def mixed(
         "ranked",
     )
     edge = _edges(ranked.filter(F.col("key").isNotNull()), needed)
-    return _taken(ranked, edge)
+    return _taken(ranked, edge), repeated
 
 
 def _edges(ranked: DataFrame, needed: DataFrame) -> DataFrame:
@@ -232,7 +285,7 @@ def _taken(ranked: DataFrame, edge: DataFrame) -> DataFrame:
     rows = ranked.join(edge, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
     # on the edge, in rank order; those elsewhere get a partition of their own digits
     is_edge = F.col("key").isNotNull() & (place == F.col("prefix"))
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "size")
+    order = Window.partitionBy("source").orderBy("key", "doc_id", "size", "nth")
     order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = F.col("before") + F.sum("size").over(order)
     over = F.col("reached") - F.col("missing")
@@ -259,19 +312,20 @@ def _taken(ranked: DataFrame, edge: DataFrame) -> DataFrame:
         .join(gaps, F.col("source").eqNullSafe(F.col("of")))
         .filter((F.col("chosen") == (F.col("gap") < 0)) & (off < F.abs("gap")))
         .groupBy("of")
-        .agg(F.min(F.struct(off.alias("off"), "key", "doc_id", "text_hash")).alias("x"))
-        .select("of", F.col("x.doc_id").alias("last_id"), F.col("x.text_hash").alias("last_hash"))
+        .agg(F.min(F.struct(off.alias("off"), "key", "doc_id", "nth")).alias("x"))
+        .select("of", F.col("x.doc_id").alias("last_id"), F.col("x.nth").alias("last_nth"))
     )
     fits = (
         F.col("source").eqNullSafe(F.col("of"))
         & F.col("doc_id").eqNullSafe(F.col("last_id"))
-        & (F.col("text_hash") == F.col("last_hash"))
+        & (F.col("nth") == F.col("last_nth"))
         & F.col("key").isNotNull()
     )
-    turned = F.col("last_hash").isNotNull()
+    turned = F.col("last_nth").isNotNull()
     copies = F.col("certain") + (F.col("chosen") != turned).cast("int")
     return rows.join(last, fits, "left").select(
         "doc_id",
+        "nth",
         "text_hash",
         "source",
         "size",
@@ -283,23 +337,22 @@ def _taken(ranked: DataFrame, edge: DataFrame) -> DataFrame:
 
 def resampled(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
-    same_rows = Window.partitionBy("__id", "__hash").orderBy("copies")
-    chosen = (
-        mixed(docs, **options)
-        .filter(F.col("copies") > 0)
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "copies")
-        .withColumn("__number", F.row_number().over(same_rows))
-        .select("__id", F.col("__hash").alias("__other"), "__number", F.col("copies").alias("__n"))
+    mix, repeated = _mixed(docs, **options)
+    taken = mix.filter(F.col("copies") > 0).select(
+        F.col("doc_id").alias("of_id"), F.col("nth").alias("of_nth"), "copies"
     )
-    equal = Window.partitionBy("doc_id", "__hash").orderBy(F.lit(0))
-    rows = docs.withColumn("__hash", text_hash()).withColumn("__row", F.row_number().over(equal))
-    taken = rows.join(
-        chosen,
-        rows.doc_id.eqNullSafe(chosen["__id"])
-        & (rows["__hash"] == chosen["__other"])
-        & (rows["__row"] == chosen["__number"]),
+    rows = _numbered_ids(
+        docs.select(
+            F.struct("*").alias("doc"),
+            F.col("doc_id").alias("id"),
+            text_hash().alias("hash"),
+            F.col("source").cast("string").alias("src"),
+        ),
+        repeated,
     )
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__n"))).select(*docs.columns)
+    same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("nth") == F.col("of_nth"))
+    copied = rows.join(taken, same).withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return copied.select("doc.*")
 
 
 # The same mix for tables without repeated ids: all ranks are sorted at once instead of by digits.

@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import WORD_GAP, read_table, text_hash, whole_text
+from tillroll.llm.common import WORD_GAP, free_names, read_table, text_hash, whole_text
 from tillroll.session import materialise
 
 MIN_WORDS = 20
@@ -293,11 +293,12 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rejected = (
         judged(docs, labels)
         .filter(~F.col("kept"))
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__other"))
+        .select(F.col("doc_id").alias("rejected_id"), F.col("text_hash").alias("rejected_hash"))
         .distinct()
     )
-    hashed = docs.withColumn("__hash", text_hash())
-    same = hashed.doc_id.eqNullSafe(rejected["__id"]) & (hashed["__hash"] == rejected["__other"])
+    (own,) = free_names(docs, "own_hash")
+    hashed = docs.withColumn(own, text_hash())
+    same = hashed.doc_id.eqNullSafe(rejected.rejected_id) & (hashed[own] == rejected.rejected_hash)
     return hashed.join(rejected, same, "left_anti").select(*docs.columns)
 
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import hash_sample, read_table, text_hash, whole_text
+from tillroll.llm.common import free_names, hash_sample, read_table, text_hash, whole_text
 from tillroll.llm.components import star_components
 from tillroll.session import materialise
 
@@ -295,12 +295,11 @@ def one_per_component(docs: DataFrame, **options) -> DataFrame:
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("kept"))
         .select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.text_hash").alias("kept_hash"))
     )
-    hashed = docs.withColumn("__hash", text_hash(options.get("text_column", "text")))
-    same = hashed[id_column].eqNullSafe(kept.kept_id) & (hashed["__hash"] == kept.kept_hash)
+    (own,) = free_names(docs, "own_hash")
+    hashed = docs.withColumn(own, text_hash(options.get("text_column", "text")))
+    same = hashed[id_column].eqNullSafe(kept.kept_id) & (hashed[own] == kept.kept_hash)
     return (
-        hashed.join(kept, same, "left_semi")
-        .dropDuplicates([id_column, "__hash"])
-        .select(*docs.columns)
+        hashed.join(kept, same, "left_semi").dropDuplicates([id_column, own]).select(*docs.columns)
     )
 
 
