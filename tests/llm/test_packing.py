@@ -16,7 +16,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def tokenizer():
     plain = Tokenizer.from_file(PATH)
-    plain.encode_special_tokens = True
     return plain
 
 
@@ -58,6 +57,8 @@ def test_ids_equal_the_whole_text(tokenizer):
     plain = "abthnTHNÀéÿñß×÷İſK'’.,-!?59_ \n"
     texts += ["".join(rng.choice(plain) for _ in range(300)) for _ in range(200)]
     texts += ["".join(rng.choices("aAtsé'.! ", (9, 3, 9, 9, 3, 2, 2, 1, 4), k=400)) for _ in range(100)]
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", " ", "a", ".", "é"]
+    texts += ["".join(rng.choices(marks, k=12)) for _ in range(2000)]
     for text in texts:
         expected = tokenizer.encode(text, add_special_tokens=False).ids
         assert encoder.ids(text).tolist() == expected, repr(text)

@@ -81,7 +81,6 @@ def test_packing(steps):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     copies, pieces = Counter(r.doc_id for r in steps[4]), steps[5]
     texts = {r.doc_id: r.text for r in steps[4]}
     lengths = defaultdict(int)

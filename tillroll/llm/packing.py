@@ -165,14 +165,16 @@ def packed(
                     yield frame(packer.settle())
         yield frame(packer.settle(everything=True))
 
+    # rows of one id, equal ones as well, may lie in several ranges
     rows = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text")
-    )
-    return (
-        rows.repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", text_hash())
-        .mapInPandas(pack, PIECES)
+        F.col(id_column).cast("long").alias("doc_id"),
+        text_hash(text_column).alias("hash"),
+        F.monotonically_increasing_id().alias("row"),
+        whole_text(text_column).alias("text"),
     )
+    order = ["doc_id", "hash", "row"]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranged.select("doc_id", "text").mapInPandas(pack, PIECES)
 
 
 def op2_ordered_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,6 +16,9 @@ CACHED_LENGTH = 40
 # follow them in Unicode, fall into these pieces wherever they stand.
 PIECE = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:-@\[-`{-~]+")
 
+# A word that holds this may hold a special token, which stays one token as the tokenizer has it.
+SPECIAL = b"<|"
+
 
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -55,12 +58,11 @@ class WordEncoder(dict):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.pieces = _Pieces(self.tokenizer)
 
     def __missing__(self, word: bytes) -> bytes:
-        found = PIECE.findall(word.lower())
-        if sum(map(len, found)) == len(word):
+        found = PIECE.findall(word.lower()) if SPECIAL not in word else []
+        if found and sum(map(len, found)) == len(word):
             ids = b"".join(map(self.pieces.__getitem__, found))
         else:
             encoding = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False)
