@@ -80,3 +80,45 @@ def test_rejected_documents_go(spark, docs):
     assert left.columns == table.columns
     ids = [r.doc_id for r in left.collect()]
     assert sorted(ids, key=lambda i: (i is None, i)) == [*range(120), None]
+
+
+def test_rates_above_any_bin_are_told_apart(spark):
+    """Junk whose rates lie above 200 per 100 words, next to good texts with rates just below it."""
+    rows = [(i, 100, 500, 400 + i % 200 if i % 2 else 250 + i % 100, 0, 0, 10, 0, 0, 90) for i in range(600)]
+    names = ["doc_id", *rulelist.STATISTICS]
+    stats = spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names))
+    labels = stats.select("doc_id", F.when(F.col("n_symbols") >= 400, 0).otherwise(1).alias("quality"))
+    rules = rulelist.learn_rules(stats, labels)
+    verdicts = stats.select("n_symbols", rules.verdict().alias("rule")).collect()
+    assert len(rules.rules) == 1 and all((r.rule > 0) == (r.n_symbols >= 400) for r in verdicts)
+
+
+def test_covering_goes_on_after_a_rule_that_fails(spark):
+    """Nine kinds of junk told by nine thresholds, and one that the held-back rows contradict."""
+    features = ["n_symbols", "n_marks", "n_upper", "n_dup_lines", "n_distinct"]
+    rows, number = [], 0
+    for kind in range(10):
+        for k in range(120):
+            value = {"n_words": 100, "word_chars": 500, "n_symbols": 0, "n_dup_lines": 0, "n_repeat_words": 0,
+                     "n_lines": 20, "n_marks": 0, "n_upper": 0, "n_distinct": 80}
+            if kind < 5:
+                value[features[kind]] = {"n_symbols": 60, "n_marks": 55, "n_upper": 250, "n_dup_lines": 15,
+                                         "n_distinct": 10}[features[kind]]
+            elif kind == 5:
+                value["n_words"], value["word_chars"], value["n_distinct"] = 4000, 20000, 3200
+            elif kind == 6:
+                value["word_chars"] = 3000
+            elif kind == 7:
+                value["word_chars"] = 120
+            elif kind == 8:
+                value["n_repeat_words"] = 25
+            rows.append((number, *[value[n] for n in rulelist.STATISTICS], int(kind == 9)))
+            number += 1
+        for _ in range(100):
+            rows.append((number, 100, 500, 0, 0, 0, 20, 0, 0, 80, 1))
+            number += 1
+    names = ["doc_id", *rulelist.STATISTICS, "quality"]
+    table = spark.createDataFrame(rows, ", ".join(f"{n} long" for n in names))
+    rules = rulelist.learn_rules(table.drop("quality"), table.select("doc_id", "quality"))
+    wrong = table.select("quality", rules.verdict().alias("rule")).filter("(rule > 0) != (quality = 0)")
+    assert len(rules.rules) > 8 and wrong.count() == 0

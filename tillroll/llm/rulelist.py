@@ -3,10 +3,13 @@
 Statistics of every text are computed with SQL functions.  Sequential covering then learns from the
 labelled documents: a rule is grown one threshold at a time on two thirds of them, pruned on the
 rest, kept if precise enough there, and the documents it covers leave before the next rule is
-grown.  What comes out is an ordered CASE expression over the statistics.
+grown.  A rule that is not precise enough ends nothing: the next one has to start from another
+feature or direction, until none is left to start from.  What comes out is an ordered CASE
+expression over the statistics.
 
-All counting is done by Spark over all labelled rows.  A step brings at most features x bins x 4
-counts to the driver, whatever the number of rows.
+All counting is done by Spark over all labelled rows.  A step brings a count for each bin of each
+feature to the driver; bins are 200 or follow a logarithm, so that there are a few thousand counts
+at most, whatever the rows.
 
 Defined results: a null or empty text has no words, fails the base rule and is not kept; labels
 without a quality of 0 or 1, or of unknown documents, are ignored; a document labelled several
@@ -31,19 +34,18 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
 
-BINS = 200
-MAX_RULES = 8
 MAX_CONDITIONS = 4
 MIN_PRECISION = 0.9  # of a rule on the documents kept back for pruning
-MIN_COVERED = 3  # rejected documents that a rule must cover there
+MIN_COVERED = 5  # rejected documents that a rule must cover there
 PRUNE_ONE_IN = 3
 
-# Monotone maps from a statistic to its bin; thresholds lie between bins.
+# Monotone maps from a statistic to its bin; thresholds lie between bins.  Where a statistic has no
+# upper end, bins widen with it instead of ending: each is about 4 % of the value wide.
 FEATURES = {
     "length": "8 * log2(1 + n_words)",
-    "word_length": "10 * word_chars / greatest(n_words, 1)",
-    "symbol_rate": "100 * n_symbols / greatest(n_words, 1)",
-    "mark_rate": "100 * n_marks / greatest(n_words, 1)",
+    "word_length": "16 * log2(1 + word_chars / greatest(n_words, 1))",
+    "symbol_rate": "16 * log2(1 + 100 * n_symbols / greatest(n_words, 1))",
+    "mark_rate": "16 * log2(1 + 100 * n_marks / greatest(n_words, 1))",
     "upper_share": "199 * n_upper / greatest(word_chars, 1)",
     "dup_line_share": "199 * n_dup_lines / greatest(n_lines, 1)",
     "repeat_share": "199 * n_repeat_words / greatest(n_words, 1)",
@@ -135,7 +137,7 @@ def base_failed() -> Column:
 
 
 def _bin(feature: str) -> Column:
-    return F.least(F.floor(F.expr(FEATURES[feature])), F.lit(BINS - 1)).cast("int")
+    return F.floor(F.expr(FEATURES[feature])).cast("int")
 
 
 @dataclass(frozen=True)
@@ -192,8 +194,11 @@ def _gain(found: tuple[int, int], before: tuple[int, int]) -> float:
     return bad * (math.log2(bad / (bad + good)) - math.log2(all_bad / (all_bad + all_good)))
 
 
-def _best_condition(counts: dict) -> tuple[Condition | None, tuple[int, int], float]:
-    """The condition with the highest gain over {(feature, bin): (bad, good)}."""
+def _best_condition(
+    counts: dict, aside: set[tuple[str, bool]]
+) -> tuple[Condition | None, tuple[int, int], float]:
+    """The condition with the highest gain over {(feature, bin): (bad, good)}, but for those of a
+    feature and direction set ``aside``."""
     best: tuple[Condition | None, tuple[int, int], float] = (None, (0, 0), 0.0)
     for feature in FEATURES:
         bins = sorted((b, n) for (f, b), n in counts.items() if f == feature)
@@ -205,13 +210,14 @@ def _best_condition(counts: dict) -> tuple[Condition | None, tuple[int, int], fl
             rest = (total[0] - below[0], total[1] - below[1])
             for found, is_above in ((rest, True), (below, False)):
                 gain = _gain(found, total)
-                if gain > best[2] + 1e-9:
+                if gain > best[2] + 1e-9 and (feature, is_above) not in aside:
                     best = (Condition(feature, is_above, bound), found, gain)
     return best
 
 
-def _grow(rows: DataFrame) -> Rule:
-    """Conditions added one by one while they shut out accepted documents."""
+def _grow(rows: DataFrame, aside: set[tuple[str, bool]]) -> Rule:
+    """Conditions added one by one while they shut out accepted documents; the first is none of
+    those set ``aside``."""
     rule: Rule = ()
     while len(rule) < MAX_CONDITIONS:
         cells = rows.filter(_all(rule, F.col)).select(
@@ -224,7 +230,7 @@ def _grow(rows: DataFrame) -> Rule:
             F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")
         )
         counts = {(r["f"], r["b"]): (r["bad"], r["good"]) for r in counted.collect()}
-        condition, found, _ = _best_condition(counts)
+        condition, found, _ = _best_condition(counts, aside if not rule else set())
         if condition is None:
             break
         rule = (*rule, condition)
@@ -265,15 +271,15 @@ def learn_rules(statistics: DataFrame, labels: DataFrame) -> DecisionList:
         "labelled",
     )
     rules: list[Rule] = []
-    while len(rules) < MAX_RULES:
-        rule = _grow(rows.filter(~F.col("held_back")))
-        if not rule:
-            break
-        rule, bad, good = _prune(rows.filter("held_back"), rule)
+    aside: set[tuple[str, bool]] = set()  # first conditions of rules that failed since the last
+    while rule := _grow(rows.filter(~F.col("held_back")), aside):
+        pruned, bad, good = _prune(rows.filter("held_back"), rule)
         if bad < MIN_COVERED or bad < MIN_PRECISION * (bad + good):
-            break
-        rules.append(rule)
-        rows = rows.filter(~_all(rule, F.col))
+            aside.add((rule[0].feature, rule[0].above))
+            continue
+        rules.append(pruned)
+        aside.clear()
+        rows = rows.filter(~_all(pruned, F.col))
     return DecisionList(tuple(rules))
 
 
