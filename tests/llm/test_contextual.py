@@ -171,3 +171,42 @@ def test_query_columns(spark):
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert set(filter(None, listed.split(","))) <= set(r.spans.split(","))
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[1] == k for s in spans) for k in range(4)]
+
+
+def spans_of(docs, rows):
+    found = contextual.personal_data(docs(rows)).select("doc_id", contextual.span_list(F.col("spans")).alias("s"))
+    return {r.doc_id: r.s for r in found.collect()}
+
+
+def test_long_words_are_contexts_of_their_own(docs):
+    """Two words of 80 letters with the same ending are two contexts."""
+    one, two = "a" + "z" * 80, "bbb" + "z" * 80
+    rows = [(i, f"see {one} 10.0.0.{i} end") for i in range(1, 30)]
+    rows += [(50, f"see {one} 10-0-0-1 end"), (51, f"see {two} 10-0-0-2 end"), (52, f"see {two} 10-0-0-2 end")]
+    found = spans_of(docs, rows)
+    assert found[50] == f"ip:{5 + len(one)}:{5 + len(one) + 8}" and found[51] == found[52] == ""
+
+
+def test_marks_around_an_address_stay_out(docs):
+    rows = [(i, f"mail me{i}@example.org now") for i in range(20)]
+    rows += [(30, "mail me@localhost, now"), (31, "mail <you@localhost> now"), (32, "mail me@localhost. now"),
+             (33, "mail \"us@intranet\"! now")]
+    found = spans_of(docs, rows)
+    assert [found[i] for i in (30, 31, 32, 33)] == ["email:5:17", "email:6:19", "email:5:17", "email:6:17"]
+
+
+def test_dates_are_no_phones(docs):
+    rows = [(i, f"call +1 555 010 {2000 + i} now") for i in range(20)]
+    rows += [(30, "call 2024-01-15 now"), (31, "on 2024-01-15 we left"), (32, "born 15.01.2024 here"),
+             (33, "call 555 010 9999 now"), (34, "room 555 010 9999 there")]
+    found = spans_of(docs, rows)
+    assert found[30] == found[31] == found[32] == ""
+    # one context speaks for the number, so it counts there alone
+    assert found[33] == "phone:5:17" and found[34] == ""
+
+
+def test_a_string_of_several_contexts_counts_everywhere(docs):
+    rows = [(i, f"{w} +1 555 010 {2000 + i} now") for i, w in enumerate(["call", "ring"] * 15)]
+    rows += [(40, "call 555 010 9999 now"), (41, "ring 555 010 9999 so"), (42, "room 555 010 9999 there")]
+    found = spans_of(docs, rows)
+    assert all(found[i] == "phone:5:17" for i in (40, 41, 42))

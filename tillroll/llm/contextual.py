@@ -10,7 +10,9 @@ string's score follows from the patterns around it.  Strings accepted in one rou
 further patterns in the next, until a round accepts none.  Strings of unknown kind do not speak
 against a pattern by their number, only by its logarithm, so that a pattern is not silenced by how
 many unseen identifiers it surrounds.
-Candidates with a high score, and a form that suits the kind, are added.
+Candidates with a high score, and a form that suits the kind, are added: everywhere if several
+contexts speak for the string, else where it stands in a confident one.  Dates are of no kind and
+speak against the patterns around them.
 
 Everything is SQL functions: matches come from regexp_extract_all, their places from the lengths of
 what a split by the same pattern leaves between them.
@@ -60,12 +62,21 @@ WRITTEN_IP = rf"(?<![0-9A-Za-z.+-])[0-9]{{1,3}}+(?:{_SEP}[0-9]{{1,3}}+){{3}}(?![
 IPV6 = r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}+|(?=::))(?::[0-9A-Fa-f]{0,4}+){2,8}+(?![0-9A-Za-z:])"
 # Identifier-like strings that may turn out to be of a kind: words around an at sign, runs of
 # digits with separators, and what is written in one of the forms above.
+# me@localhost, without the marks around it; a local part has 64 characters at most
+_PART = r"[^\x20\x09-\x0D@<>()\[\]{},;:\"'!?]"
+WORD_EMAIL = rf"(?<![\p{{L}}\p{{N}}])[\p{{L}}\p{{N}}]{_PART}{{0,63}}+@{_PART}*[\p{{L}}\p{{N}}]"
+# 2024-01-15, 15.1.2024 and alike: of no kind, and known to be so
+DATE = r"(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:[0-9]{2}){1,2})"
 CANDIDATE = (
-    r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D@]++(?:@[^\x20\x09-\x0D]++)"
+    rf"{WORD_EMAIL}"
     rf"|{WRITTEN_EMAIL}|{WRITTEN_IP}|{IPV6}"
     r"|(?<![0-9A-Za-z.+-])\(?[0-9](?:[\x20\xA0\u2007\u2009\u202F/().-]{0,2}[0-9]){6,}+"
 )
-CONTEXT_CHARS = 64
+_WORD, _GAP = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
+# The last two words before a match, or one if there are no more, and the first one after it.
+BEFORE = rf"(?<!{_WORD}){_WORD}++(?:{_GAP}++{_WORD}++)?+{_GAP}*+$"
+AFTER = rf"^{_GAP}*+{_WORD}*+"
+LONG_PATTERN = 100  # characters; longer contexts are told apart by their digest
 MIN_SEEDS = 3  # different seeds a pattern must surround
 MIN_CONFIDENCE = 0.5  # of a pattern, to have a say
 MIN_SCORE = 0.8  # of a candidate, to be added
@@ -90,6 +101,27 @@ def _running(numbers: Column, combine: Callable[[Column, Column], Column]) -> Co
     return F.aggregate(passes, numbers, double)
 
 
+NEAR = 64  # characters next to a match that mostly hold the words needed
+
+
+def _last_words(gap: Column) -> Column:
+    """The end of a text with its last two words, whole however long they are."""
+    near = F.right(gap, F.lit(NEAR))
+    whole = near.rlike(rf"{_GAP}{_WORD}++{_GAP}++{_WORD}++{_GAP}*+$")
+    return F.when((F.length(gap) <= NEAR) | whole, near).otherwise(
+        F.regexp_extract(gap, BEFORE, 0)
+    )
+
+
+def _first_word(gap: Column) -> Column:
+    """The start of a text with its first word, whole however long it is."""
+    near = F.left(gap, F.lit(NEAR))
+    whole = near.rlike(rf"^{_GAP}*+{_WORD}++{_GAP}")
+    return F.when((F.length(gap) <= NEAR) | whole, near).otherwise(
+        F.regexp_extract(gap, AFTER, 0)
+    )
+
+
 def matches(text: Column, pattern: str) -> Column:
     """Array of (start, end, value, before, after) of a pattern's matches, in code points."""
     found = F.struct(
@@ -112,8 +144,8 @@ def matches(text: Column, pattern: str) -> Column:
                     (F.get(e, i) - F.length(m)).alias("start"),
                     F.get(e, i).alias("end"),
                     m.alias("value"),
-                    F.right(F.get(f.gaps, i), F.lit(CONTEXT_CHARS)).alias("before"),
-                    F.left(F.get(f.gaps, i + 1), F.lit(CONTEXT_CHARS)).alias("after"),
+                    _last_words(F.get(f.gaps, i)).alias("before"),
+                    _first_word(F.get(f.gaps, i + 1)).alias("after"),
                 ),
             ),
         )
@@ -217,7 +249,8 @@ def _occurrences(found: DataFrame) -> DataFrame:
 
 
 def _context(column: str, which: str) -> Column:
-    """Lower-case words next to a match, digits told apart only as such."""
+    """Lower-case words next to a match, digits told apart only as such, without the brackets and
+    marks that touch the match."""
     word = r"[^\x20\x09-\x0D]+"
     gap = r"[\x20\x09-\x0D]"
     pattern = {
@@ -225,14 +258,34 @@ def _context(column: str, which: str) -> Column:
         "one before": f"(?:^|{gap})({word}{gap}*)$",
         "one after": f"^({gap}*{word})(?:{gap}|$)",
     }[which]
-    words = F.regexp_replace(F.lower(F.regexp_extract(column, pattern, 1)), "[0-9]+", "0")
-    return F.trim(F.regexp_replace(words, f"{gap}+", " "))
+    marks = r"^[>)\]}\"',.;:!?]++" if which == "one after" else r"[<(\[{\"']+$"
+    near = F.regexp_replace(column, marks, "")
+    words = F.regexp_replace(F.lower(F.regexp_extract(near, pattern, 1)), "[0-9]+", "0")
+    words = F.trim(F.regexp_replace(words, f"{gap}+", " "))
+    return F.when(F.length(words) > LONG_PATTERN, F.sha2(words, 256)).otherwise(words)
+
+
+def _is_date(value: Column) -> Column:
+    return value.rlike(f"^{DATE}$")
+
+
+def _patterns() -> Column:
+    """The contexts of an occurrence, from its columns ``before`` and ``after``."""
+    before, after = _context("before", "one before"), _context("after", "one after")
+    two = _context("before", "two before")
+    return F.array_compact(
+        F.array(
+            F.when(before != "", F.concat(before, F.lit(" _"))),
+            F.when(two != "", F.concat(two, F.lit(" _"))),
+            F.when((before != "") & (after != ""), F.concat(before, F.lit(" _ "), after)),
+        )
+    )
 
 
 def _fits(kind: Column, value: Column) -> Column:
     """Whether a candidate has a form that suits a kind."""
     n = F.length(_digits(value))
-    numeric = value.rlike(r"^[^A-Za-z@:]+$")
+    numeric = value.rlike(r"^[^A-Za-z@:]+$") & ~_is_date(value)
     groups = F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0))
     ipv4 = value.rlike(f"^{WRITTEN_IP}$") & F.forall(groups, lambda g: g.cast("int") < 256)
     # eight groups, or fewer with one run of colons that stands for the rest
@@ -252,19 +305,12 @@ def _fits(kind: Column, value: Column) -> Column:
     )
 
 
-def bootstrap(occurrences: DataFrame) -> DataFrame:
-    """(value, kind, score) of the candidates that the graph of patterns supports."""
-    before, after = _context("before", "one before"), _context("after", "one after")
-    two = _context("before", "two before")
-    patterns = F.array(
-        F.when(before != "", F.concat(before, F.lit(" _"))),
-        F.when(two != "", F.concat(two, F.lit(" _"))),
-        F.when((before != "") & (after != ""), F.concat(before, F.lit(" _ "), after)),
-    )
+def bootstrap(occurrences: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(value, kind, score, contexts) of the candidates that the graph of patterns supports, and
+    (pattern, kind, confidence) of the patterns that are confident in the end.  ``contexts`` counts
+    the different words before a string that speak for it."""
     edges = materialise(
-        occurrences.select("kind", "value", F.explode(patterns).alias("pattern"))
-        .filter(F.col("pattern").isNotNull())
-        .distinct(),
+        occurrences.select("kind", "value", F.explode(_patterns()).alias("pattern")).distinct(),
         "context-graph",
     )
     # a pattern with fewer strings than MIN_SEEDS can never have enough seeds, and one without
@@ -300,17 +346,18 @@ def bootstrap(occurrences: DataFrame) -> DataFrame:
             .filter(_fits(F.col("kind"), F.col("value")))
             .groupBy("value", "kind")
             # 1 - product of (1 - confidence); rounded, so that order of summing does not show
-            .agg(F.round(1 - F.exp(F.sum(F.log(1 - F.col("confidence")))), 9).alias("score"))
+            .agg(
+                F.round(1 - F.exp(F.sum(F.log(1 - F.col("confidence")))), 9).alias("score"),
+                F.count_if(F.size(F.split("pattern", " ")) == 2).alias("contexts"),
+            )
         )
         best = scores.groupBy("value").agg(
-            F.max(F.struct("score", first.alias("first"), "kind")).alias("best")
-        )
-        found = materialise(
-            best.select("value", "best.kind", "best.score").filter(F.col("score") >= MIN_SCORE),
-            "accepted",
+            F.max(F.struct("score", first.alias("first"), "kind", "contexts")).alias("best")
         )
+        best = best.select("value", "best.kind", "best.score", "best.contexts")
+        found = materialise(best.filter(F.col("score") >= MIN_SCORE), "accepted")
         if accepted is not None and found.isEmpty():
-            return accepted
+            return accepted, materialise(support, "confident-patterns")
         accepted = found if accepted is None else materialise(accepted.unionAll(found), "accepted")
 
 
@@ -319,12 +366,13 @@ def _support(state: DataFrame, base_seeds: DataFrame) -> DataFrame:
     with the kind of those that are accepted by now."""
     known = F.col("kind").isNotNull()
     candidates = state.groupBy("pattern").agg(
+        F.count_if(_is_date(F.col("value"))).alias("dates"),
         *[F.count_if(F.col("kind") == k).alias(f"won_{k}") for k in KINDS],
         *[F.count_if(~known & _fits(F.lit(k), F.col("value"))).alias(f"open_{k}") for k in KINDS],
     )
     rows = candidates.join(base_seeds, "pattern", "left").fillna(0)
     believed = {k: F.col(f"base_{k}") + F.col(f"won_{k}") for k in KINDS}
-    total = sum(believed.values(), F.lit(0))
+    total = sum(believed.values(), F.col("dates"))
     kinds = F.array(
         *[
             F.struct(
@@ -358,11 +406,20 @@ def personal_data(
         _occurrences(found.filter(F.greatest(*[F.size(c) for c in (*KINDS, "candidates")]) > 0)),
         "occurrences",
     )
-    accepted = bootstrap(occurrences).withColumnRenamed("kind", "new_kind")
+    accepted, confident = bootstrap(occurrences)
     rank = F.array_position(F.array(*map(F.lit, KINDS)), F.col("new_kind")).cast("int") - 1
-    added = (
+    # a string that one context alone speaks for counts where it stands in such a context
+    won = (
         occurrences.filter(F.col("kind").isNull())
-        .join(accepted, "value")
+        .select("doc_id", "text_hash", "start", "end", "value", _patterns().alias("patterns"))
+        .join(accepted.withColumnRenamed("kind", "new_kind"), "value")
+    )
+    several = won.filter("contexts > 1").drop("patterns")
+    single = won.filter("contexts <= 1").withColumn("pattern", F.explode("patterns"))
+    sure = confident.select("pattern", F.col("kind").alias("new_kind"))
+    single = single.join(sure, ["pattern", "new_kind"], "left_semi").drop("pattern", "patterns")
+    added = (
+        several.unionByName(single)
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("start", rank.alias("rank"), "end")).alias("added"))
         .select(F.col("doc_id").alias("added_id"), F.col("text_hash").alias("added_hash"), "added")
