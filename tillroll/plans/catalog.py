@@ -20,7 +20,7 @@ from tillroll.operators import (
     revenue,
     rfm,
 )
-from tillroll.plans import timed
+from tillroll.plans import stored, timed
 from tillroll.plans.load import load_star
 from tillroll.session import materialise, on_clear, scratch_path, tune
 from tillroll.sources import files
@@ -68,7 +68,8 @@ def queries() -> dict[str, Query]:
 
         return run
 
-    return {name: bound(build) for name, build in (_REGISTRY | timed.BUILDERS).items()}
+    builders = _REGISTRY | timed.QUERIES.builders | stored.QUERIES.builders
+    return {name: bound(build) for name, build in builders.items()}
 
 
 # Tables that several queries read, stored once for each application and folder; the folder's

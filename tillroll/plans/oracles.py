@@ -7,7 +7,7 @@ decimal, and both are turned into doubles at the very end.
 from __future__ import annotations
 
 from tillroll.operators.facts import FACT_COLUMNS, SAMPLE_COLUMNS
-from tillroll.plans import timed
+from tillroll.plans import stored, timed
 from tillroll.plans.sql import ALIASES
 from tillroll.plans.sql import day as _day
 from tillroll.plans.sql import pct as _pct
@@ -577,4 +577,4 @@ def oracle_sql() -> dict[str, str]:
               AND channel = '1-URGENT' AND category = 'ECONOMY'""",
         _FACT,
     )
-    return sql | timed.SQL
+    return sql | timed.QUERIES.sql | stored.QUERIES.sql

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators import temporal
+from tillroll.plans.registry import Registry
 from tillroll.plans.sql import day, with_star
 from tillroll.session import scratch_path
 from tillroll.sources.wholesale import ITEM_COLUMNS, Wholesale
@@ -26,20 +27,10 @@ GAP_HOURS = 6
 LAST_YEAR, FIRST_YEAR, YEARS_EACH = 2001, 1995, 3
 SHIPPED_WITHIN = 30
 
-BUILDERS: dict[str, Callable[[Wholesale], DataFrame]] = {}
-SQL: dict[str, str] = {}
+QUERIES = Registry()
 
 SECONDS, MICROS = "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
-def _query(sql: str):
-    def keep(build: Callable[[Wholesale], DataFrame]):
-        BUILDERS[build.__name__] = build
-        SQL[build.__name__] = sql
-        return build
-
-    return keep
-
-
 def _totals() -> dict[str, Column]:
     return {
         "events": F.count("*"),
@@ -102,7 +93,7 @@ def _window_sql(source: str, start: str, hours: int) -> str:
         GROUP BY start, event_type"""
 
 
-@_query(_window_sql("in_time", "time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01')", 6))
+@QUERIES.query(_window_sql("in_time", "time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01')", 6))
 def stream_tumbling_windows(w: Wholesale) -> DataFrame:
     """Events in time by type and six hours, windows closed by the watermark."""
     table = _streamed(
@@ -114,7 +105,7 @@ def stream_tumbling_windows(w: Wholesale) -> DataFrame:
     return table.select(_text("window_start"), "event_type", "events", "cents")
 
 
-@_query(
+@QUERIES.query(
     _window_sql(
         "in_time, (SELECT unnest(range(0, 24, 6)) AS back)",
         "time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - back * INTERVAL 1 HOUR",
@@ -132,7 +123,7 @@ def stream_sliding_windows(w: Wholesale) -> DataFrame:
     return table.select(_text("window_start"), "event_type", "events", "cents")
 
 
-@_query(
+@QUERIES.query(
     f"""WITH {_IN_TIME} SELECT event_id, CAST(arrival AS BIGINT) AS arrival,
         strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM judged WHERE late"""
 )
@@ -161,7 +152,7 @@ def _sessions(table: DataFrame) -> DataFrame:
     )
 
 
-@_query(
+@QUERIES.query(
     f"""WITH {_IN_TIME}, """
     + _session_sql(
         "in_time",
@@ -180,7 +171,7 @@ def stream_sessions(w: Wholesale) -> DataFrame:
     )
 
 
-@_query("WITH " + _session_sql("events", ""))
+@QUERIES.query("WITH " + _session_sql("events", ""))
 def event_sessions(w: Wholesale) -> DataFrame:
     """Users' sessions over all events."""
     return _sessions(
@@ -224,7 +215,7 @@ def order_shipments(w: Wholesale) -> tuple[DataFrame, Sink]:
     return sink.table(stream.schema), sink
 
 
-@_query(
+@QUERIES.query(
     f"""WITH settled AS (
             SELECT o_orderkey AS order_id, o_orderdate AS placed FROM orders
             WHERE CAST(o_orderdate AS DATE) < (
@@ -257,7 +248,7 @@ def stream_order_shipments(w: Wholesale) -> DataFrame:
     )
 
 
-@_query(
+@QUERIES.query(
     with_star(
         f"""SELECT order_id, CAST(line_no AS BIGINT) AS line_no, asked.product_id,
                    {day('order_date')}, {day('quoted_on')}, CAST(quoted AS DOUBLE) AS unit_price
@@ -294,7 +285,7 @@ CAMPAIGN_START = "s_suppkey * 97 % 2300"
 CAMPAIGN_DAYS = "CASE WHEN s_suppkey % 25 = 0 THEN 700 ELSE s_suppkey % 60 END"
 
 
-@_query(
+@QUERIES.query(
     with_star(
         """SELECT campaign_id, count(*) AS orders,
                   CAST(sum(datediff('day', greatest(starts, order_date), least(ends, delivered_date)) + 1)
