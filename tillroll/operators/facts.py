@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Iterable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from tillroll.functions.numeric import (
     month_start,
 )
 from tillroll.operators.revenue import fact_orders
-from tillroll.sources.files import ORDER_MONTH
+from tillroll.sources.files import ORDER_MONTH, in_months
 from tillroll.sources.schemas import Star
 
 
@@ -230,6 +231,23 @@ def chosen_orders(
     return orders
 
 
+def in_range(
+    star: Star,
+    start: datetime.date | None = None,
+    end: datetime.date | None = None,
+    channel: str | None = None,
+) -> Star:
+    """The star as any report over a date range (both ends included) and a sales channel needs it:
+    only the orders chosen, and lines and payments pruned to the months of the range where they are
+    stored by month.  Reports join them to the orders, which leaves out what is left over."""
+    return replace(
+        star,
+        orders=chosen_orders(star.orders, start, end, channel),
+        order_items=in_months(star.order_items, start, end),
+        payments=in_months(star.payments, start, end),
+    )
+
+
 def fact_query(
     star: Star,
     start: datetime.date | None = None,
@@ -242,11 +260,10 @@ def fact_query(
     Every parameter is optional.  Orders are chosen first, by filters that reach their scan; lines
     and payments are then narrowed to the chosen orders, and products to the category.
     """
-    products = star.products
+    narrowed = in_range(star, start, end, channel)
     if category is not None:
-        products = products.filter(F.col("category") == category)
-    orders = chosen_orders(star.orders, start, end, channel)
-    narrowed = Star(star.customers, products, orders, star.order_items, star.payments)
+        narrowed = replace(narrowed, products=star.products.filter(F.col("category") == category))
+    orders = narrowed.orders
     if (start, end, channel) != (None, None, None):
         narrowed = _of_orders(narrowed, orders.select("order_id").distinct())
     return fact_table(narrowed)

@@ -72,13 +72,12 @@ def queries() -> dict[str, Query]:
     return {name: bound(build) for name, build in builders.items()}
 
 
-# Tables that several queries read, stored once for each application and folder; the folder's
-# tables are taken as fixed meanwhile, as everywhere in a session.
-_STORED: dict[tuple[str, str, str], DataFrame] = {}
+# Tables that several queries read, stored once for each application and state of a folder.
+_STORED: dict[tuple, DataFrame] = {}
 
 
 def _stored(w: Wholesale, name: str, build: Callable[[Wholesale], DataFrame]) -> DataFrame:
-    key = (w.spark.sparkContext.applicationId, w.folder, name)
+    key = (w.spark.sparkContext.applicationId, w.folder, w.version(), name)
     if key not in _STORED:
         _STORED[key] = build(w)
     return _STORED[key]
@@ -129,7 +128,6 @@ def src_load(w: Wholesale) -> DataFrame:
         spark,
         paths | {"orders": [f"{root}/orders", f"{root}/misfits"]},
         scratch_path(spark, "star"),
-        multi_line=True,
     )
     lost = [
         lines.agg(F.count("*").alias("rejected_lines")).select(
@@ -144,6 +142,18 @@ def src_load(w: Wholesale) -> DataFrame:
     return counted.join(per_table, F.col("table_name") == F.col("name")).drop("name")
 
 
+@_query
+def src_csv_multi_line(w: Wholesale) -> DataFrame:
+    """Names with line breaks, written as CSV and read back."""
+    broken = w.customers().withColumn(
+        "full_name", F.concat_ws("\n", "full_name", F.lit('said "hi", twice'))
+    )
+    path = scratch_path(w.spark, "customers-csv")
+    files.write_csv(broken, path)
+    loaded = files.accepted(files.read_csv(w.spark, path, "customers", multi_line=True))
+    return loaded.select("customer_id", "full_name", "segment")
+
+
 @_query
 def src_rows(w: Wholesale) -> DataFrame:
     paid = w.payments("order_id", "payment_method", "grand_total", "payment_status")
@@ -575,6 +585,34 @@ def q18_category_pairs(w: Wholesale) -> DataFrame:
     return basket.basket_pairs(*_sales_tables(w, ()), min_orders=2)
 
 
+def _range_star(w: Wholesale) -> Star:
+    star = Star(
+        customers=w.customers("customer_id"),
+        products=w.products("product_id", "category"),
+        orders=w.orders("order_id", "order_date", "order_status", "ship_carrier", "channel"),
+        order_items=w.order_items("order_id", "product_id", "quantity", "unit_price"),
+        payments=w.payments("order_id", "grand_total", "payment_status"),
+    )
+    return facts.in_range(star, *PARAM_RANGE, PARAM_CHANNEL)
+
+
+@_query
+def range_category_revenue(w: Wholesale) -> DataFrame:
+    star = _range_star(w)
+    return products.category_revenue(star.orders, star.order_items, star.products)
+
+
+@_query
+def range_monthly_revenue(w: Wholesale) -> DataFrame:
+    star = _range_star(w)
+    return revenue.monthly_revenue(star.orders, star.payments)
+
+
+@_query
+def range_carrier_returns(w: Wholesale) -> DataFrame:
+    return operations.return_rate_by_carrier(_range_star(w).orders)
+
+
 # --- fact table --------------------------------------------------------------------------------
 
 
@@ -629,6 +667,29 @@ def order_month(w: Wholesale) -> DataFrame:
     return orders.select("order_id", numeric.month_start().alias("order_month"))
 
 
+@_query
+def month_stored_query(w: Wholesale) -> DataFrame:
+    """The same question over orders, lines and payments stored by month."""
+    orders = w.orders().withColumn(files.ORDER_MONTH, F.trunc("order_date", "MM"))
+
+    def stored(rows: DataFrame, month: str, name: str) -> DataFrame:
+        return files.write_by_months(rows, scratch_path(w.spark, name), month)
+
+    orders = stored(orders, files.ORDER_MONTH, "orders-by-month")
+    star = Star(
+        customers=w.customers(),
+        products=w.products(),
+        orders=orders,
+        order_items=stored(
+            files.with_placed_month(w.order_items(), orders), files.PLACED_MONTH, "lines-by-month"
+        ),
+        payments=stored(
+            files.with_placed_month(w.payments(), orders), files.PLACED_MONTH, "payments-by-month"
+        ),
+    )
+    return facts.fact_query(star, *PARAM_RANGE, PARAM_CHANNEL, PARAM_CATEGORY)
+
+
 @_query
 def param_query(w: Wholesale) -> DataFrame:
     # delivery and signup dates are looked up for the chosen orders and their buyers only

@@ -42,7 +42,7 @@ def load_star(
     stored, rejected = {}, {}
     for table in TABLES:
         parsed = files.read_csv(spark, csv[table], table, multi_line)
-        written = files.write_loaded(parsed, f"{target}/{table}", table)
+        written = files.write_loaded(parsed, f"{target}/{table}", table, stored.get("orders"))
         stored[table] = quality.with_defaults(files.accepted(written), table)
         rejected[table] = files.rejected(written)
     return Loaded(

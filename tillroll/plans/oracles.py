@@ -577,4 +577,32 @@ def oracle_sql() -> dict[str, str]:
               AND channel = '1-URGENT' AND category = 'ECONOMY'""",
         _FACT,
     )
+    sql["month_stored_query"] = sql["param_query"]
+    chosen = """order_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'
+                AND channel = '1-URGENT'"""
+    sql["range_category_revenue"] = _with(
+        f"""SELECT category, count(DISTINCT order_id) AS order_count,
+                  CAST(sum(quantity) AS BIGINT) AS total_quantity,
+                  CAST(sum(amount) AS DOUBLE) AS category_revenue
+           FROM sold JOIN (SELECT order_id, channel FROM star_orders) USING (order_id)
+           WHERE order_status = 'Delivered' AND {chosen} GROUP BY category""",
+        _SOLD,
+    )
+    sql["range_monthly_revenue"] = _with(
+        f"""SELECT {month} AS month, count(DISTINCT order_id) AS order_count,
+                   CAST(sum(grand_total) AS DOUBLE) AS monthly_revenue
+            FROM paid WHERE {chosen} GROUP BY 1""",
+        _PAID,
+    )
+    sql["range_carrier_returns"] = _with(
+        f"""SELECT ship_carrier, count(*) AS total_orders, {returned} AS returned_orders,
+                   {_pct(returned, 'count(*)')} AS return_rate_pct
+            FROM star_orders WHERE order_status <> 'Cancelled' AND {chosen}
+            GROUP BY ship_carrier"""
+    )
+    sql["src_csv_multi_line"] = _with(
+        """SELECT CAST(customer_id AS VARCHAR) AS customer_id,
+                  full_name || chr(10) || 'said "hi", twice' AS full_name, segment
+           FROM star_customers"""
+    )
     return sql | timed.QUERIES.sql | stored.QUERIES.sql

@@ -97,6 +97,12 @@ def has_path(spark: SparkSession, path: str) -> bool:
     return system.exists(where)
 
 
+def last_change(spark: SparkSession, path: str) -> int:
+    """When a file, or the list of files in a folder, was last changed."""
+    system, where = _file_system(spark, path)
+    return system.getFileStatus(where).getModificationTime()
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a file, or a folder with all it holds."""
     system, where = _file_system(spark, path)

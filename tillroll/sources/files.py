@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -14,6 +15,7 @@ from tillroll.sources.schemas import TABLES
 RAW_LINE = "_corrupt_record"
 FITS = "fits"
 ORDER_MONTH = "order_month"
+PLACED_MONTH = "placed_month"  # of lines and payments: the month of their order
 
 
 def read_csv(
@@ -191,19 +193,59 @@ def write_csv(df: DataFrame, path: str) -> None:
     out.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def write_loaded(loaded: DataFrame, path: str, table: str) -> DataFrame:
+def with_placed_month(rows: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines or payments with the month of their order, null where there is none: for unknown
+    orders, orders without a date, and ids that come with several months.  Rows stay as many."""
+    months = orders.groupBy(F.col("order_id").alias("placed_id")).agg(
+        F.min(F.trunc("order_date", "MM")).alias("low"),
+        F.max(F.trunc("order_date", "MM")).alias("high"),
+        F.count_if(F.col("order_date").isNull()).alias("undated"),
+    )
+    one = (F.col("low") == F.col("high")) & (F.col("undated") == 0)
+    months = months.select("placed_id", F.when(one, F.col("low")).alias(PLACED_MONTH))
+    known = rows.join(months, F.col("order_id") == F.col("placed_id"), "left")
+    return known.select(*rows.columns, PLACED_MONTH)
+
+
+def in_months(
+    rows: DataFrame, start: datetime.date | None = None, end: datetime.date | None = None
+) -> DataFrame:
+    """Lines or payments that may belong to orders of a range of days: those stored with another
+    month are left out, by whole folders.  Rows without a month stay, as all do that are not stored
+    by month."""
+    if PLACED_MONTH not in rows.columns:
+        return rows
+    month, kept = F.col(PLACED_MONTH), F.lit(True)
+    if start is not None:
+        kept &= month >= F.lit(start.replace(day=1))
+    if end is not None:
+        kept &= month <= F.lit(end.replace(day=1))
+    return rows.filter(month.isNull() | kept)
+
+
+def write_by_months(rows: DataFrame, path: str, *keys: str) -> DataFrame:
+    """Store rows in a folder for each value of ``keys``, the last of which is a month, and open
+    them.  They are spread by range over the keys and the order, which splits a heavy month over
+    several tasks and files instead of sending it to one, and reads the input once more, as the
+    bounds of the ranges are sampled first."""
+    rows.repartitionByRange(*keys, "order_id").write.partitionBy(*keys).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def write_loaded(
+    loaded: DataFrame, path: str, table: str, orders: DataFrame | None = None
+) -> DataFrame:
     """Store a CSV load, fitting and quarantined lines apart, and open it.
 
-    The result is partitioned by ``fits``.  Orders are also partitioned by month, so that date
-    ranges prune files; they are spread by range over (month, order), which splits a heavy month
-    over several tasks and files instead of sending it to one, and reads the files once more, as
-    the bounds of the ranges are sampled first.
+    The result is partitioned by ``fits``.  Orders are also partitioned by month, and so are lines
+    and payments, by the month of their order among the loaded ``orders``: a range of days prunes
+    the files of all three.
     """
     marked = with_fits(loaded)
-    keys = [FITS]
     if table == "orders":
-        keys.append(ORDER_MONTH)
         marked = marked.withColumn(ORDER_MONTH, F.trunc("order_date", "MM"))
-        marked = marked.repartitionByRange(*keys, "order_id")
-    marked.write.partitionBy(*keys).parquet(path)
+        return write_by_months(marked, path, FITS, ORDER_MONTH)
+    if orders is not None and table in ("order_items", "payments"):
+        return write_by_months(with_placed_month(marked, orders), path, FITS, PLACED_MONTH)
+    marked.write.partitionBy(FITS).parquet(path)
     return loaded.sparkSession.read.schema(marked.schema).parquet(path)

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillroll.functions.numeric import CANCELLED, DELIVERED, RETURNED
+from tillroll.session import last_change
 from tillroll.sources.schemas import TABLES, Star
 
 # Source status letters, the day histories are measured from, and the rules that
@@ -116,8 +117,9 @@ PAYMENT_COLUMNS = {
     "payment_status": f"CASE WHEN o_totalprice < {FAILED_BELOW} THEN 'Failed' ELSE 'Paid' END",
 }
 
-# Footers are read once per session and table.
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
+# Footers are read once per session and state of a table.
+_SCHEMAS: dict[tuple, StructType] = {}
+SOURCES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 
 def _pick(df: DataFrame, mapping: dict[str, str], names: Iterable[str]) -> DataFrame:
@@ -136,9 +138,14 @@ class Wholesale:
         self.spark = spark
         self.folder = folder
 
+    def version(self) -> tuple:
+        """When each of the tables behind the star was last changed."""
+        paths = (f"{self.folder}/{name}.parquet" for name in SOURCES)
+        return tuple(last_change(self.spark, path) for path in paths)
+
     def source(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
+        key = (self.spark.sparkContext.applicationId, path, last_change(self.spark, path))
         if key not in _SCHEMAS:
             _SCHEMAS[key] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
