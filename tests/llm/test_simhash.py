@@ -103,3 +103,16 @@ def test_long_chain_is_one_component(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(0, 400)] + [(9000, 9001)], "a long, b long")
     found = {r.node: r.root for r in star_components(chain).collect()}
     assert found == {i: 0 for i in range(401)} | {9000: 9000, 9001: 9000}
+
+
+def test_deep_trees_lose_nothing():
+    """A tree that is deeper than its sample can fill still finds every half within reach."""
+    rng = np.random.default_rng(8)
+    halves = rng.integers(0, 2**32, 4000, dtype=np.uint32)
+    near = halves ^ (np.uint32(1) << rng.integers(0, 32, 4000, dtype=np.uint32))
+    tree = simhash.VantageTree.fit(halves[:500], 15, 1)
+    home = tree.leaves(halves)
+    row, leaf = tree.reached(near, 1)
+    reached = set(zip(row.tolist(), leaf.tolist()))
+    assert all((i, home[i]) in reached for i in range(4000))
+    assert len(np.unique(home)) > 400

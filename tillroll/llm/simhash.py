@@ -39,10 +39,12 @@ from tillroll.session import materialise
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
-TREE_SAMPLE = 32_768  # fingerprints a tree is fitted on, those with the smallest hash
+# Fingerprints a tree is fitted on, those with the smallest hash: so many, or so many for each leaf.
+TREE_SAMPLE, SAMPLE_PER_LEAF = 32_768, 2
 LEAF_POINTS = 1024  # aimed at; what exceeds BLOCK is cut into blocks
 BLOCK = 4096
-MAX_DEPTH = 14
+MAX_DEPTH = 18  # leaves keep their size up to 268 million different fingerprints
+ROUTED_AT_ONCE = 8192
 VANTAGE_TRIALS = 6
 COMPARED_AT_ONCE = 1 << 21
 SHINGLES_AT_ONCE = 1 << 16
@@ -197,13 +199,13 @@ def shard_links(points: np.ndarray, queries: np.ndarray, max_bits: int) -> tuple
 
 def _routed(points: DataFrame, trees: list[VantageTree], reach: int) -> DataFrame:
     """(leaf, is_point, fp): a row for the home leaf and for each reached leaf, of either tree.
-    ``leaf`` is the tree's number times 2**20 plus the node."""
+    ``leaf`` is the tree's number times 2**24 plus the node."""
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = batch["fp"].to_numpy(np.int64)
             for number, (tree, half) in enumerate(zip(trees, _halves(fps.view(np.uint64)))):
-                base = number << 20
+                base = number << 24
                 home = base + tree.leaves(half)
                 yield pd.DataFrame({"leaf": home, "is_point": True, "fp": fps})
                 row, leaf = tree.reached(half, reach)
@@ -217,11 +219,13 @@ def fingerprint_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     connected by pairs at ``max_bits`` differing bits or fewer."""
     reach = max_bits // 2
     count = points.count()
-    chosen = hash_sample(points, ["fp"], TREE_SAMPLE)
-    sample = np.array([row["fp"] for row in chosen], np.int64).view(np.uint64)
     depth = min(MAX_DEPTH, max(0, math.ceil(math.log2(max(1, count) / LEAF_POINTS))))
+    chosen = hash_sample(points, ["fp"], max(TREE_SAMPLE, SAMPLE_PER_LEAF << depth))
+    sample = np.array([row["fp"] for row in chosen], np.int64).view(np.uint64)
     trees = [VantageTree.fit(half, depth, reach) for half in _halves(sample)]
-    routed = _routed(points, trees, reach)
+    # the points are few bytes and much work, so they are spread by their number
+    spread = points.repartition(max(1, -(-count // ROUTED_AT_ONCE)), "fp")
+    routed = materialise(_routed(spread, trees, reach), "routed")
 
     # leaves above BLOCK rows: how many blocks of points, and of queries
     sizes = routed.groupBy("leaf").agg(
