@@ -52,7 +52,7 @@ BITS = 1024
 DEVIATIONS = 6
 SEED = 42
 BLOCK = 2048  # sketches of a bucket that are compared with as many others in one task
-BLOCK_BYTES = 8 << 20  # of full sets
+BLOCK_BYTES = 2 << 20  # of full sets
 COMPARED_AT_ONCE = 1 << 21
 SAMPLED_AT_ONCE = 2048
 HEAVY = 1000  # sets that more than one row in so many has are labelled by broadcast
@@ -208,14 +208,17 @@ def sketched(docs: DataFrame, shingle_words: int, id_column: str, text_column: s
 def _full_sets(docs, nodes, shingle_words, id_column, text_column) -> DataFrame:
     """(node, shingles) of the nodes, from the text of the document that stands for each."""
 
-    @F.arrow_udf("array<long>")
-    def shingles(texts: pa.Array) -> pa.Array:
-        sets = []
-        for run in portions(found := texts.to_pylist()):
-            sets += shingle_sets(found[run], shingle_words)
-        ends = np.cumsum([0] + [len(s) for s in sets])
-        values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for run in portions(texts):
+                sets = shingle_sets(texts[run], shingle_words)
+                ends = np.cumsum([0] + [len(s) for s in sets])
+                values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+                part = batch.slice(run.start, run.stop - run.start)
+                columns = [part.column("node"), part.column("n_shingles"), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "shingles"])
 
     texts = docs.select(
         F.col(id_column).alias("of_id"),
@@ -224,7 +227,10 @@ def _full_sets(docs, nodes, shingle_words, id_column, text_column) -> DataFrame:
     )
     same = texts.of_id.eqNullSafe(nodes.doc_id) & (texts.of_hash == nodes.text_hash)
     found = texts.join(nodes.select("node", "doc_id", "text_hash", "n_shingles"), same)
-    found = found.select("node", "n_shingles", shingles("text").alias("shingles"))
+    # not a column expression, which the filter below would take along to before the join
+    found = found.select("node", "n_shingles", "text").mapInArrow(
+        shingles, "node long, n_shingles long, shingles array<long>"
+    )
     # rows with equal id and hash hold the same text
     return found.filter(F.size("shingles") == F.col("n_shingles")).dropDuplicates(["node"])
 
