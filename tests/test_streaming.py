@@ -111,13 +111,27 @@ def test_streamed_sessions_equal_batch_sessions(spark, land):
 def test_an_arrival_lands_once(spark, tmp_path):
     landing = Landing(spark, str(tmp_path), "ts", "1 HOUR")
     landing.add(events(spark, [(1, 1, 1)]), 0)
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+    with pytest.raises(ValueError, match="has landed"):
         landing.add(events(spark, [(2, 1, 1)]), 0)
     landing.add(events(spark, []), 1)
     landing.add(events(spark, [(3, 1, 500)]), 2)
     assert landing._log().count() == 3
 
 
+def test_an_arrival_that_was_broken_off_can_be_added_again(spark, tmp_path):
+    landing = Landing(spark, str(tmp_path / "in"), "ts", "1 HOUR")
+    landing.add(events(spark, [(1, 1, 100)]), 0)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("tillroll.streaming.landing.move_path", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            landing.add(events(spark, [(2, 1, 20), (3, 1, 900)]), 1)
+    landing.add(events(spark, [(2, 1, 20), (3, 1, 900)]), 1)
+    sink = Sink(spark, str(tmp_path / "late"))
+    sink.advance(landing.late())
+    assert [r.id for r in sink.table(landing.late().schema).collect()] == [2]
+    assert landing._log().count() == 2
+
+
 def test_join_state_stays_small(spark):
     """Rows leave the state once no partner can come: far fewer are held than were read."""
     w = Wholesale(spark, "/root/testdata/sf0.001")

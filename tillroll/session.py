@@ -109,6 +109,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     system.delete(where, True)
 
 
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or folder another name on its file system; folders above it are made."""
+    system, where = _file_system(spark, path)
+    _, there = _file_system(spark, to)
+    system.mkdirs(there.getParent())
+    if not system.rename(where, there):
+        raise OSError(f"could not move {path} to {to}")
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application.
 

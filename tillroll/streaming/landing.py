@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tillroll.session import has_path
+from tillroll.session import has_path, move_path
 
 ARRIVAL = "arrival"
 LATE = "late"
@@ -41,20 +41,29 @@ class Landing:
         ).parquet(f"{self.root}/log")
 
     def add(self, rows: DataFrame, arrival: int) -> None:
-        """Land the rows as one arrival; arrivals come in rising order, each once."""
-        folder = f"{self.root}/rows/{ARRIVAL}={arrival}"
-        rows.write.parquet(folder)
-        landed = self.spark.read.schema(rows.schema).parquet(folder)
-        times = landed.select(F.lit(None).cast("timestamp").alias("t0"), F.col(self.time).alias("t1"))
+        """Land the rows as one arrival; arrivals come in rising order, each once.
+
+        A stream may run meanwhile: the rows appear all at once, after their line in the log.  An
+        arrival that was broken off can be added again.
+        """
+        folder, staged = f"{self.root}/rows/{ARRIVAL}={arrival}", f"{self.root}/staged/{arrival}"
+        if has_path(self.spark, folder):
+            raise ValueError(f"arrival {arrival} has landed")
+        rows.write.mode("overwrite").parquet(staged)
+        landed = self.spark.read.schema(rows.schema).parquet(staged)
+        times = landed.select(
+            F.lit(None).cast("timestamp").alias("t0"), F.col(self.time).alias("t1")
+        )
         if has_path(self.spark, f"{self.root}/log"):
-            times = times.unionAll(
-                self._log().select("newest", F.lit(None).cast("timestamp"))
-            )
+            # by folder, as that of this arrival may be there from a broken-off attempt
+            earlier = self._log().filter(F.col("of") < arrival)
+            times = times.unionAll(earlier.select("newest", F.lit(None).cast("timestamp")))
         times.agg(F.max("t1").alias("newest"), F.max("t0").alias("before")).select(
             F.lit(arrival).alias(ARRIVAL),
             "newest",
             (F.col("before") - F.expr(f"INTERVAL {self.delay}")).alias("late_before"),
-        ).write.mode("append").parquet(f"{self.root}/log")
+        ).write.mode("overwrite").parquet(f"{self.root}/log/of={arrival}")
+        move_path(self.spark, staged, folder)
         self.schema = rows.schema
 
     def stream(self, **options: str) -> DataFrame:
