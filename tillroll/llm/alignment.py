@@ -43,15 +43,22 @@ FREQUENT = 100_000
 CACHED_WORDS = 500_000
 CACHED_CHARACTERS = 20_000_000
 LINKS_AT_ONCE = 4_000_000
-# Where one of these stands, neighbouring words are not encoded by themselves: both tokenizers
-# treat runs of blanks as a whole, and the second spells a space as U+2581.
-TOUCHING = re.compile(r"^ | $|\s \s|  |▁")
+BLANKS = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 0x20]
+TOUCHING = re.compile(r"\s \s")
 
 
 # A word of plain letters with marks behind it; the byte-level encoding cuts between the two.
 SIMPLE_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
+def _blanks_touch(text: str) -> bool:
+    """Whether words between single spaces cannot be encoded by themselves: both tokenizers treat
+    runs of blanks as a whole, and the second spells a space as U+2581."""
+    if text[0] == " " or text[-1] == " " or "  " in text or "▁" in text:
+        return True
+    return any(f"{blank} " in text for blank in BLANKS) and bool(TOUCHING.search(text))
+
+
 def _byte_of_letter() -> dict[str, int]:
     """Byte-level vocabularies write printable bytes as themselves and number the rest from 256."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -75,10 +82,11 @@ class ByteLevel:
         for token, number in vocabulary.items():
             self.spelled[number] = bytes(letters[c] for c in token)
         self.letter = {byte: letter for letter, byte in letters.items()}
+        self.space = self.letter[0x20]
+        self.marks = functools.lru_cache(10_000)(self._part)
 
-    def _part(self, part: str) -> list[int]:
-        """Ids of what the encoding never cuts before it merges."""
-        written = part.encode().decode("latin-1").translate(self.letter)
+    def _part(self, written: str) -> list[int]:
+        """Ids of what the encoding never cuts before it merges, written in its letters."""
         return [token.id for token in self.model.tokenize(written)]
 
     def ids(self, texts: list[str]) -> list[list[int]]:
@@ -89,8 +97,11 @@ class ByteLevel:
             if simple is None:
                 out.append(self.tokenizer.encode(" " + text, add_special_tokens=False).ids)
             else:
-                marks = simple.group(2)
-                out.append(self._part(" " + simple.group(1)) + (self._part(marks) if marks else []))
+                word, marks = simple.groups()
+                if not word.isascii():
+                    word = word.encode().decode("latin-1").translate(self.letter)
+                ids = self._part(self.space + word)
+                out.append(ids + self.marks(marks) if marks else ids)
         return out
 
 
@@ -162,7 +173,7 @@ class Encoders:
         words, bounds = [], [0]
         for text in texts:
             if text:
-                words += [text] if TOUCHING.search(text) else text.split(" ")
+                words += [text] if _blanks_touch(text) else text.split(" ")
             bounds.append(len(words))
         bounds = np.array(bounds)
         taken = self._numbers(words)
@@ -251,11 +262,15 @@ def shared_cuts(
         b_cut = np.searchsorted(b_ends, a_ends[at[found]]) + 1
         a_cuts.append(a_cut)
         b_cuts.append(b_cut)
+        # halves stay in order, so that bisections of neighbours touch the same ends
         a_low, a_high, b_low, b_high = (
-            np.concatenate([a_low[found], a_cut]),
-            np.concatenate([a_cut, a_high[found]]),
-            np.concatenate([b_low[found], b_cut]),
-            np.concatenate([b_cut, b_high[found]]),
+            np.stack(halves, axis=1).ravel()
+            for halves in (
+                (a_low[found], a_cut),
+                (a_cut, a_high[found]),
+                (b_low[found], b_cut),
+                (b_cut, b_high[found]),
+            )
         )
     return np.sort(np.concatenate(a_cuts)), np.sort(np.concatenate(b_cuts))
 
