@@ -33,7 +33,9 @@ def as_of_join(
     values counts.
     """
     packed = [f"l{i}" for i in range(len(left.columns))]
-    held = left.select(*[F.col(f"`{c}`").alias(p) for c, p in zip(left.columns, packed, strict=True)])
+    held = left.select(
+        *[F.col(f"`{c}`").alias(p) for c, p in zip(left.columns, packed, strict=True)]
+    )
     of = dict(zip(left.columns, packed, strict=True))
     known = F.lit(True)
     for name in (*keys, left_time):
@@ -150,9 +152,9 @@ def overlap_join(
 def sessions(
     df: DataFrame, keys: Sequence[str], time: str, gap_seconds: int, totals: dict[str, Column]
 ) -> DataFrame:
-    """Totals by session, as the streaming form gives them: rows of equal keys with
-    at most ``gap_seconds`` between neighbours.  Rows without a time belong to none; rows without a key form sessions
-    of their own, like any other key."""
+    """Totals by session, as the streaming form gives them: rows of equal keys with at most
+    ``gap_seconds`` between neighbours.  Rows without a time belong to none; rows without a key form
+    sessions of their own, like any other key."""
     micros = gap_seconds * 1_000_000
     timed = df.filter(F.col(time).isNotNull()).withColumn("at", F.unix_micros(F.col(time)))
     seen = carried_last(timed, keys, ["at"], {"at": "previous"}, with_current=False)
