@@ -414,7 +414,9 @@ def _exact_links(members: DataFrame, percent: int) -> DataFrame:
         links = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": links[:, 0], "b": links[:, 1]})
 
-    return points.unionAll(queries).groupBy("group", "i", "j").applyInArrow(search, "a long, b long")
+    # the join has dealt by group, which would keep all blocks of a group in one task
+    cells = points.unionAll(queries).repartition("group", "i", "j")
+    return cells.groupBy("group", "i", "j").applyInArrow(search, "a long, b long")
 
 
 def node_roots(
