@@ -116,3 +116,29 @@ def test_placement_equals_a_plain_sort(spark, sample_docs):
         want.append((i, size, crc, c, shard, position - -(-shard * len(keyed) // 16)))
     found = hilbert.hilbert_shards(sample_docs).select("doc_id", "size", "text_crc32", "curve", "shard", "slot")
     assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
+def test_levels_are_cut_by_all_rows(spark):
+    """Cuts of a table of many rows, with a value that holds a third of them, are the exact ones."""
+    n = 30_000
+    table = spark.range(n, numPartitions=7).select(
+        F.col("id").alias("doc_id"), F.lit("x").alias("text"),
+        F.expr("if(id % 3 = 0, 70, (id * 7919) % 30011)").alias("n_chars"),
+        F.expr("if(id % 5 > 0, concat('s', (id * id) % 997), null)").alias("source"),
+    )
+    values = {
+        "n_chars": [70 if i % 3 == 0 else (i * 7919) % 30011 for i in range(n)],
+        "source": [f"s{(i * i) % 997}" if i % 5 else None for i in range(n)],
+    }
+    want = {}
+    for name, own in values.items():
+        known = sorted(v for v in own if v is not None)
+        ordered = [None] * (n - len(known)) + known
+        spots = {ordered[n * k // 32] for k in range(1, 32)}
+        want[name] = sorted(s for s in spots if s is not None and s != ordered[0])
+    ordinals = table.select(*[hilbert.ordinal(table, c).alias(c) for c in values])
+    assert hilbert.level_cuts(ordinals, list(values), 5) == want
+    rows = hilbert.hilbert_shards(table, dimensions=("n_chars", "source")).collect()
+    levels = [[0 if v is None else sum(c <= v for c in want[name]) for v in own] for name, own in values.items()]
+    curve = hilbert.hilbert_index(np.array(levels), 5).tolist()
+    assert {r.doc_id: r.curve for r in rows} == dict(enumerate(curve)) and len(rows) == n

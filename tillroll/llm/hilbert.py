@@ -13,21 +13,20 @@ table gives no rows; further columns of the input are neither needed nor touched
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import hash_sample, numbered, read_table, whole_text
+from tillroll.llm.common import numbered, read_table, whole_text
+from tillroll.session import materialise
 
 SHARDS = 16
 DIMENSIONS = ("source", "lang", "n_chars")
 BITS = 5
-# Cut points of the levels come from this many rows, those with the smallest hash.  They shape the
-# boxes only; every row is placed, and the run lengths are exact whatever the cuts.
-CUT_SAMPLE = 8192
 
 
 def hilbert_index(levels: np.ndarray, bits: int) -> np.ndarray:
@@ -70,16 +69,55 @@ def ordinal(docs: DataFrame, name: str) -> Column:
 def level_cuts(
     ordinals: DataFrame, columns: Sequence[str], bits: int
 ) -> dict[str, list[float | str]]:
-    """Lower ends of the levels above the first, from a bounded sample chosen by hash.
-
-    Texts are in order of code points, which is that of their bytes; nulls come first."""
-    sample = hash_sample(ordinals, ordinals.columns, CUT_SAMPLE)
-    cuts = {}
-    for name in columns:
-        known = sorted(row[name] for row in sample if row[name] is not None)
-        values = [None] * (len(sample) - len(known)) + known
-        spots = [values[len(values) * k // 2**bits] for k in range(1, 2**bits)] if values else []
-        cuts[name] = sorted({v for v in spots if v is not None and v != values[0]})
+    """Lower ends of the levels above the first: what stands at equal steps of all rows in order.
+
+    Equal values are counted, ranges of the different ones are sorted on their own and written
+    once, and each range starts where the earlier ones end.  The driver gets a size per range and
+    the values at the steps.  Texts are in order of code points, which is that of their bytes;
+    nulls come first."""
+    steps = 2**bits
+    texts = {name for name, kind in ordinals.dtypes if kind == "string"}
+    # every dimension has all rows, so they follow each other in one order
+    entries = [
+        F.struct(
+            F.lit(i).alias("dim"),
+            (F.lit(None) if name in texts else F.col(name)).cast("double").alias("number"),
+            (F.col(name) if name in texts else F.lit(None)).cast("string").alias("word"),
+        )
+        for i, name in enumerate(columns)
+    ]
+    order = ["dim", "number", "word"]
+    counted = ordinals.select(F.inline(F.array(*entries))).groupBy(*order)
+    written = materialise(
+        counted.agg(F.count("*").alias("held"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("slot", F.monotonically_increasing_id()),
+        "levels",
+    ).withColumn("part", F.shiftright("slot", 33))
+    sizes = sorted(map(tuple, written.groupBy("part").agg(F.sum("held")).collect()))
+    ends = list(accumulate(size for _, size in sizes))
+    starts = [(part, end - size) for (part, size), end in zip(sizes, ends, strict=True)]
+    total = ends[-1] // len(columns) if ends else 0
+
+    offsets = ordinals.sparkSession.createDataFrame(starts, "part long, range_start long")
+    so_far = F.sum("held").over(Window.partitionBy("part").orderBy("slot"))
+    # rows of the dimension before a value and up to it; step k stands at total * k div steps
+    found = (
+        written.join(F.broadcast(offsets), "part")
+        .withColumn("until", F.col("range_start") + so_far - F.col("dim") * total)
+        .withColumn("before", F.col("until") - F.col("held"))
+        .filter("before > 0")
+        .filter(
+            f"(before * {steps} + {total - 1}) div {max(total, 1)}"
+            f" < (until * {steps} + {total - 1}) div {max(total, 1)}"
+        )
+        .collect()
+    )
+    cuts: dict[str, list[float | str]] = {name: [] for name in columns}
+    for row in sorted(found, key=lambda r: (r.dim, r.before)):
+        name = columns[row.dim]
+        cuts[name].append(row.word if name in texts else row.number)
     return cuts
 
 
@@ -93,7 +131,8 @@ def hilbert_shards(
 ) -> DataFrame:
     """A row per document: id, size, text_crc32, curve, shard, slot.
 
-    Shard sizes differ by at most one row.  Only ids, sizes and levels are shuffled, once.
+    Shard sizes differ by at most one row.  Ids, sizes and levels are shuffled once, the different
+    values of each dimension twice.
     """
     text = whole_text(text_column)
     names = [f"dim{i}" for i in range(len(dimensions))]
@@ -103,7 +142,7 @@ def hilbert_shards(
         F.crc32(text.cast("binary")).alias("text_crc32"),
         *[ordinal(docs, d).alias(n) for d, n in zip(dimensions, names, strict=True)],
     )
-    cuts = level_cuts(rows.select("doc_id", *names), names, bits)
+    cuts = level_cuts(rows.select(*names), names, bits)
 
     def level(name: str) -> Column:
         reached = F.filter(F.array(*[F.lit(c) for c in cuts[name]]), lambda c: c <= F.col(name))
