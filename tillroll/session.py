@@ -12,12 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime SQL settings the operators rely on.  A hot order, customer or product is split by the
 # adaptive skew join; the "force" switch lets that happen even where the following aggregation
 # could have reused the join's partitioning (it then gets its own, pre-aggregated, exchange).
-# What counts as hot, partition sizes and partition counts are the cluster's to choose.
+# Partitions are sized by their compressed bytes, and shuffled keys take several times as much, up
+# to twenty-five times, as rows in a task's sorts and hash maps: small partitions keep the memory of
+# one task, several of which share an executor, the same however much is shuffled or scanned.
+# What counts as hot and partition counts are the cluster's to choose.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.files.maxPartitionBytes": "32m",
 }
 
 
