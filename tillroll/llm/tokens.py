@@ -18,6 +18,7 @@ PIECE = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&
 
 # A word that holds this may hold a special token, which stays one token as the tokenizer has it.
 SPECIAL = b"<|"
+WHITE = b" \t\n\x0b\x0c\r"
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -75,9 +76,16 @@ class WordEncoder(dict):
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text; words are split at ASCII white space only, the rest is left to the
-        tokenizer."""
-        words = text.encode("utf-8", "replace").split()
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4")
+        tokenizer.  Lines of plain words alone go by their pieces at once."""
+        found: list[bytes] = []
+        for line in text.encode("utf-8", "replace").split(b"\n"):
+            pieces = PIECE.findall(line.lower())
+            plain = len(b"".join(pieces)) == len(line.translate(None, WHITE))
+            if plain and SPECIAL not in line:
+                found.extend(map(self.pieces.__getitem__, pieces))
+            else:
+                found.extend(map(self.__getitem__, line.split()))
+        return np.frombuffer(b"".join(found), "<u4")
 
     def sentence_ends(self) -> np.ndarray:
         """For each id, whether its token closes a sentence."""
