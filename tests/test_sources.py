@@ -123,3 +123,20 @@ def test_shared_folder_comes_from_the_session(spark):
     assert own.startswith(f"{configured}/")
     assert kept.inputFiles()[0].startswith(f"file://{own}/three-")
     assert kept.count() == 3
+
+
+def test_compressed_parts_are_loaded_the_same(spark, tmp_path):
+    star = shop(spark)
+    for name in ("none", "gzip"):
+        files.write_csv(star.orders, str(tmp_path / name), name)
+    plain, packed = (files.accepted(files.read_csv(spark, str(tmp_path / n), "orders")) for n in ("none", "gzip"))
+    assert list((tmp_path / "gzip").glob("part-*.csv.gz")) and not list((tmp_path / "none").glob("*.gz"))
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, packed.collect()), key=str)
+
+
+def test_partitions_stay_small_unless_the_session_says_otherwise(spark):
+    fresh = spark.newSession()
+    fresh.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    session.tune(fresh)
+    assert fresh.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8m"
+    assert fresh.conf.get("spark.sql.files.maxPartitionBytes") == "64m"

@@ -116,7 +116,7 @@ def src_load(w: Wholesale) -> DataFrame:
     spark = w.spark
     root = scratch_path(spark, "star-csv")
     for name, table in w.tables().items():
-        files.write_csv(table, f"{root}/{name}")
+        files.write_csv(table, f"{root}/{name}", "gzip")
     misfits = w.orders("order_id").filter(F.col("order_id") % 97 == 0)
     misfits.select(
         F.lit("X").alias("order_id"),

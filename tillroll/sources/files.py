@@ -182,15 +182,17 @@ def read_jdbc(
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """Export with a header and no index column, as a folder of part files.
 
-    Flags are written as 0 and 1, which is how :func:`read_csv` takes them.
+    Flags are written as 0 and 1, which is how :func:`read_csv` takes them.  ``compression`` is
+    ``gzip``, say; a compressed part file is then read in one task.
     """
     booleans = [f.name for f in df.schema if isinstance(f.dataType, T.BooleanType)]
     flags = {name: F.col(name).cast("int") for name in booleans}
     out = df.withColumns(flags) if flags else df
-    out.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    writer = out.write.option("header", True).option("quote", '"').option("escape", '"')
+    writer.option("compression", compression).csv(path)
 
 
 def with_placed_month(rows: DataFrame, orders: DataFrame) -> DataFrame:
