@@ -1,12 +1,14 @@
+import json
 import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
 from tillroll.llm import packing, tokens
 
@@ -64,6 +66,62 @@ def test_ids_equal_the_whole_text(tokenizer):
         assert encoder.ids(text).tolist() == expected, repr(text)
 
 
+def test_ids_of_a_batch_equal_those_of_its_texts(tokenizer):
+    rng = random.Random(5)
+    bits = ["the", "'S", "'ll", "ing", "ÀÉ", "×", "J\u030c", "İ", "7", "--", "...", "<|", "!", "'"]
+    bits += ["<|ENDOFTEXT|>", "<|endoftext|>", "x" * 70, "ab" * 40, " ", " ", " ", "\n", "\x0b", "\x1c"]
+    texts = ["", "  ", "q" * 128, "q" * 129, "zy" * 3000, "Don't STOP, it's 1999!!", "word"]
+    texts += ["".join(rng.choices(bits, k=rng.randint(0, 40))) for _ in range(2000)]
+    encoder = tokens.WordEncoder(PATH)
+    for of in (texts, texts[:1], texts[2:5], []):
+        ids, ends = encoder.batch(pa.array(["cut off", *of], pa.string())[1:])
+        assert len(ends) == len(of) + 1 and ends[0] == 0 and ends[-1] == len(ids)
+        for text, start, end in zip(of, ends, ends[1:]):
+            expected = tokenizer.encode(text, add_special_tokens=False).ids
+            assert ids[start:end].tolist() == expected, repr(text)
+
+
+def test_every_token_is_made_of_its_own_letters(tokenizer):
+    # merging by rank equals merging by the listed pairs only if this holds
+    model = json.load(open(PATH, encoding="utf-8"))["model"]
+    inside = models.BPE(vocab=model["vocab"], merges=[tuple(pair) for pair in model["merges"]])
+    for token, number in model["vocab"].items():
+        ends = token.endswith("</w>")
+        made = tokenizer.model.tokenize(token[:-4]) if ends else inside.tokenize(token)
+        assert [t.id for t in made] == [number], token
+
+
+def test_words_of_a_batch_are_encoded_once_and_together():
+    encoder, seen = tokens.WordEncoder(PATH), []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def encode_to_numpy(self, text):
+            seen.append(len(text))
+            return self.inner.encode_to_numpy(text)
+
+    encoder.pieces = Counting(encoder.pieces)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+    encoder.batch(pa.array([" ".join(words[k:] + words) for k in range(100)]))
+    assert seen == [sum(len(word) + 1 for word in words)]
+
+
+def test_text_groups_keep_rows_in_order_and_sizes_bounded():
+    rng = random.Random(11)
+    texts = ["é" * rng.choice((0, 0, 10, 90, 400, 3000)) for _ in range(500)]
+    table = pa.table({"doc_id": list(range(500)), "text": texts})
+    batches = [*table.to_batches(37), table.to_batches()[0].slice(0, 0)]
+    groups = list(packing.text_groups(iter(batches), 2000))
+    assert [i for g in groups for i in g.column("doc_id").to_pylist()] == list(range(500))
+    assert [t for g in groups for t in g.column("text").to_pylist()] == texts
+    for group in groups:
+        sizes = [len(t.encode()) + packing.ROW_BYTES for t in group.column("text").to_pylist()]
+        assert sum(sizes) - max(sizes, default=0) < 2000
+    assert len(groups) > 50 and list(packing.text_groups(iter([]))) == []
+
+
 def test_all_documents_are_packed_with_little_padding(spark, tokenizer):
     folder = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}

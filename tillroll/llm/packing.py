@@ -7,8 +7,8 @@ cut j plus the position of j, g(j) = WIDTH + penalty(j) + min g(i) over the cuts
 WIDTH tokens back.  That minimum slides, so a queue of candidates with rising g finds it in
 constant time per cut.
 
-A task reads its range in order and holds BLOCK_TOKENS and one batch at a time; when a block is full
-all but its last window are settled and the rest opens the next block.  Padding is lost to the end
+A task reads its range in order, encodes GROUP_BYTES of text at a time and holds BLOCK_TOKENS; when
+a block is full all but its last window are settled and the rest opens the next block.  Padding is lost to the end
 of a range once per range.
 
 Defined results: a null text counts as empty, and an empty text is its closing token alone; repeated
@@ -23,7 +23,8 @@ from collections import deque
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ CLOSING_ID = 1
 BLOCK_TOKENS = 1 << 19
 SENTENCE_PENALTY = 2
 HARD_PENALTY = 12
+GROUP_BYTES = 8_000_000
+ROW_BYTES = 64  # what a row counts for besides its text
 HARD_STEP = 16  # cuts inside a sentence lie this far apart
 
 PIECES = (
@@ -128,6 +131,27 @@ class Packer:
         self.open, self.tokens = rest, len(ids) - at
 
 
+def text_groups(
+    batches: Iterator[pa.RecordBatch], group_bytes: int = GROUP_BYTES
+) -> Iterator[pa.Table]:
+    """The rows in order, with about ``group_bytes`` of text together or a single longer one."""
+    held, size, slot = [], 0, 0
+    for batch in batches:
+        lengths = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        ends = size + np.cumsum(lengths.astype(np.int64) + ROW_BYTES)
+        slots = ends // group_bytes
+        done = 0
+        for at in np.flatnonzero(np.diff(slots, prepend=slot)).tolist():
+            held.append(batch.slice(done, at - done))
+            yield pa.Table.from_batches(held)
+            held, done = [], at
+        held.append(batch.slice(done))
+        if batch.num_rows:
+            size, slot = int(ends[-1]), int(slots[-1])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def packed(
     docs: DataFrame,
     vocabulary: str | None = None,
@@ -147,23 +171,25 @@ def packed(
 
         vocabulary = public_tokenizers.path(VOCABULARY)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(str(vocabulary))
         packer = Packer(encoder.sentence_ends(), width, TaskContext.get().partitionId() << 32)
         closing = np.array([closing_id], "<u4")
         columns = [c.split()[0] for c in PIECES.split(", ")]
 
-        def frame(pieces: Iterator[tuple]) -> pd.DataFrame:
-            rows = pd.DataFrame(list(pieces), columns=columns)
-            return rows.astype({c: "int64" for c in columns[1:]} | {"doc_id": "Int64"})
+        def batch_of(pieces: Iterator[tuple]) -> pa.RecordBatch:
+            rows = list(pieces)
+            values = zip(*rows, strict=True) if rows else [[] for _ in columns]
+            return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], columns)
 
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                doc_id = None if pd.isna(row.doc_id) else int(row.doc_id)
-                packer.add(doc_id, np.concatenate([encoder.ids(row.text), closing]))
+        for group in text_groups(batches):
+            ids, ends = encoder.batch(group.column("text").combine_chunks())
+            bounds = zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)
+            for doc_id, (start, end) in zip(group.column("doc_id").to_pylist(), bounds, strict=True):
+                packer.add(doc_id, np.concatenate([ids[start:end], closing]))
                 if packer.tokens >= block_tokens:
-                    yield frame(packer.settle())
-        yield frame(packer.settle(everything=True))
+                    yield batch_of(packer.settle())
+        yield batch_of(packer.settle(everything=True))
 
     # rows of one id, equal ones as well, may lie in several ranges
     rows = docs.select(
@@ -174,7 +200,7 @@ def packed(
     )
     order = ["doc_id", "hash", "row"]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return ranged.select("doc_id", "text").mapInPandas(pack, PIECES)
+    return ranged.select("doc_id", "text").mapInArrow(pack, PIECES)
 
 
 def op2_ordered_packing(spark: SparkSession, folder: str) -> DataFrame:
