@@ -116,3 +116,31 @@ def test_deep_trees_lose_nothing():
     reached = set(zip(row.tolist(), leaf.tolist()))
     assert all((i, home[i]) in reached for i in range(4000))
     assert len(np.unique(home)) > 400
+
+
+def test_large_leaves_are_cut_without_python(spark, monkeypatch):
+    """Cutting large leaves in Python, in small batches, took most of the time at some GB."""
+    monkeypatch.setattr(simhash, "LEAF_POINTS", 8)
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    points = spark.range(300).selectExpr("xxhash64(id) AS fp")
+    plan = simhash.fingerprint_links(points)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" in plan and "MapInPandas" not in plan.replace(
+        "FlatMapGroupsInPandas", "")
+
+
+def test_two_halves_meet_in_one_leaf(spark):
+    """Of two fingerprints with close halves one is searched for in the other's leaf, not both."""
+    rng = np.random.default_rng(4)
+    high = rng.integers(0, 2**32, 60, dtype=np.uint64)
+    high = np.concatenate([high, high ^ (np.uint64(1) << rng.integers(0, 32, 60, dtype=np.uint64))])
+    fps = (high << np.uint64(32)) + rng.integers(0, 2**32, 120, dtype=np.uint64)
+    trees = [simhash.VantageTree.fit(half, 5, 1) for half in simhash._halves(fps)]
+    points = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    rows = simhash._routed(points, trees, 1).filter("leaf < 1 << 24").collect()
+    home = {r.fp: r.leaf for r in rows if r.is_point}
+    searched = {(r.fp, r.leaf) for r in rows if not r.is_point}
+    pairs = list(zip(fps[:60].view(np.int64).tolist(), fps[60:].view(np.int64).tolist()))
+    for a, b in pairs:
+        met = [(a, home[b]) in searched, (b, home[a]) in searched]
+        assert any(met) and (home[a] == home[b] or not all(met))
+    assert any(home[a] != home[b] for a, b in pairs)

@@ -5,9 +5,11 @@ differ in at most ``max_bits // 2`` bits of one of their halves, so there is one
 and its search radius is that small.  A tree node holds a vantage point and a radius: a half lies
 inside if its Hamming distance to the vantage point is at most the radius.  By the triangle
 inequality a ball around a half can reach the inside only if distance - r <= radius, and the
-outside only if distance + r > radius; a fingerprint is stored in its one leaf and searched for in
-every leaf its ball can reach.  Leaves are shards: each is searched by a task of its own, which
-prunes once more by distances to a vantage point and compares whole fingerprints exactly.
+outside only if distance + r > radius; a fingerprint is stored in its one leaf, its home, and its
+ball can reach others.  As two close halves reach each other's homes, one of the two is searched for
+in the other's home, and which one depends on the two leaves alone.  Leaves are shards: each is
+searched by a task of its own, which prunes once more by distances to a vantage point and compares
+whole fingerprints exactly.
 
 Equal fingerprints are one point; a shard returns a star for each of its local components rather
 than all its pairs.  The trees are fitted on a bounded sample, chosen by hash; the fit moves the
@@ -197,8 +199,14 @@ def shard_links(points: np.ndarray, queries: np.ndarray, max_bits: int) -> tuple
     return nodes[linked], nodes[label[linked]]
 
 
+def _goes(home: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Whether a half that lives in ``home`` is searched for in ``leaf``: always in its own, and for
+    two leaves in one direction only, so that every leaf gets about half of what can reach it."""
+    return (home == leaf) | ((home < leaf) == ((home ^ leaf) & 1 == 0))
+
+
 def _routed(points: DataFrame, trees: list[VantageTree], reach: int) -> DataFrame:
-    """(leaf, is_point, fp): a row for the home leaf and for each reached leaf, of either tree.
+    """(leaf, is_point, fp): a row for the home leaf and for each leaf to search, of either tree.
     ``leaf`` is the tree's number times 2**24 plus the node."""
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,9 +214,11 @@ def _routed(points: DataFrame, trees: list[VantageTree], reach: int) -> DataFram
             fps = batch["fp"].to_numpy(np.int64)
             for number, (tree, half) in enumerate(zip(trees, _halves(fps.view(np.uint64)))):
                 base = number << 24
-                home = base + tree.leaves(half)
-                yield pd.DataFrame({"leaf": home, "is_point": True, "fp": fps})
+                home = tree.leaves(half)
+                yield pd.DataFrame({"leaf": base + home, "is_point": True, "fp": fps})
                 row, leaf = tree.reached(half, reach)
+                goes = _goes(home[row], leaf)
+                row, leaf = row[goes], leaf[goes]
                 yield pd.DataFrame({"leaf": base + leaf, "is_point": False, "fp": fps[row]})
 
     return points.mapInPandas(route, "leaf long, is_point boolean, fp long")
@@ -231,23 +241,11 @@ def fingerprint_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     sizes = routed.groupBy("leaf").agg(
         F.count_if("is_point").alias("points"), F.count_if(~F.col("is_point")).alias("queries")
     )
-    large = {
-        row["leaf"]: (-(-row["points"] // BLOCK), -(-row["queries"] // (4 * BLOCK)))
-        for row in sizes.filter((F.col("points") > BLOCK) | (F.col("queries") > 4 * BLOCK)).collect()
-    }
-
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            cut = batch["leaf"].isin(large.keys())
-            yield batch[~cut].assign(part=0)
-            for (leaf, is_point), rows in batch[cut].groupby(["leaf", "is_point"]):
-                point_blocks, query_blocks = large[leaf]
-                dealt = pd.util.hash_array(rows["fp"].to_numpy())
-                own = dealt % np.uint64(point_blocks if is_point else query_blocks)
-                own = own.astype(np.int64)
-                for other in range(query_blocks if is_point else point_blocks):
-                    part = own * query_blocks + other if is_point else other * query_blocks + own
-                    yield rows.assign(part=part)
+    large = sizes.filter((F.col("points") > BLOCK) | (F.col("queries") > 4 * BLOCK)).select(
+        "leaf",
+        F.greatest(F.lit(1), F.ceil(F.col("points") / BLOCK)).alias("point_blocks"),
+        F.greatest(F.lit(1), F.ceil(F.col("queries") / (4 * BLOCK))).alias("query_blocks"),
+    )
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         fps = rows["fp"].to_numpy(np.int64).view(np.uint64)
@@ -258,7 +256,16 @@ def fingerprint_links(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         node, root = shard_links(points, queries, max_bits)
         return pd.DataFrame({"a": node.view(np.int64), "b": root.view(np.int64)})
 
-    dealt = routed.mapInPandas(cells, "leaf long, is_point boolean, fp long, part long")
+    # every block of points meets every block of queries, in part (point block) * (query blocks) +
+    # (query block); a row goes to its own block times all blocks of the other kind
+    cells = routed.join(F.broadcast(large), "leaf", "left").fillna(
+        1, ["point_blocks", "query_blocks"]
+    )
+    is_point, deep, wide = F.col("is_point"), F.col("point_blocks"), F.col("query_blocks")
+    own = F.pmod(F.xxhash64("fp"), F.when(is_point, deep).otherwise(wide))
+    parts = F.when(is_point, F.sequence(own * wide, own * wide + wide - 1, F.lit(1).cast("long")))
+    parts = parts.otherwise(F.sequence(own, own + (deep - 1) * wide, wide))
+    dealt = cells.select("leaf", "is_point", "fp", F.explode(parts).alias("part"))
     return dealt.groupBy("leaf", "part").applyInPandas(search, "a long, b long")
 
 
